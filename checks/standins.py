@@ -169,6 +169,7 @@ RAW: dict[str, str] = {
 }
 
 ALL = {**STAR, **RAW}
+_MARK = re.compile(r"\{(" + "|".join(SOURCES) + r")\}")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -177,7 +178,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run a text whose ``{source}`` marks are driver tables."""
-    used = set(re.findall(r"\{(\w+)\}", text))
+    used = set(_MARK.findall(text))
     return spark.sql(text, **{name: load(spark, sf_dir, name) for name in used})
 
 
@@ -211,7 +212,7 @@ def tables(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def plain(text: str) -> str:
-    return re.sub(r"\{(\w+)\}", r"\1", text)
+    return _MARK.sub(r"\1", text)
 
 
 def with_ctes(body: str) -> str:

@@ -245,7 +245,7 @@ view("c3_theme_highlights", A.theme_highlights, f"""
     c AS (SELECT tema, qtd FROM t WHERE critico ORDER BY qtd DESC, tema_id LIMIT 1)
     SELECT (SELECT tema FROM d) AS dominante, (SELECT qtd FROM d) AS dominante_qtd, (SELECT tema FROM c) AS critico_lider,
       (SELECT qtd FROM c) AS critico_lider_qtd, CAST((SELECT sum(qtd) FROM t WHERE critico) AS BIGINT) AS criticas_total,
-      printf('%.1f%%', (SELECT sum(qtd) FROM t WHERE critico) * 100.0 / {_NT}) AS criticas_pct, {_N} - {_NT} AS sem_classificacao""")
+      printf('%.1f%%', round((SELECT sum(qtd) FROM t WHERE critico) / CAST({_NT} AS DOUBLE) * 100, 1)) AS criticas_pct, {_N} - {_NT} AS sem_classificacao""")
 view("c4_radar", A.radar, f"""
     SELECT tema_id, split_part(tema, ' ', 1) AS tema, qtd FROM ({_THEMES}) s ORDER BY qtd DESC, tema_id LIMIT 8""")
 view("c5_enrichment_funnel", A.enrichment_funnel, f"""
@@ -260,7 +260,7 @@ view("c7_active_days", A.active_days, """
 view("c8_approval_split", A.approval_split, """
     WITH r AS (SELECT CASE WHEN aprovacao THEN 'Aprovadas' WHEN NOT aprovacao THEN 'Reprovadas' ELSE 'Sem resultado' END AS resultado
       FROM fato_votacoes)
-    SELECT resultado, count(*) AS qtd, printf('%.1f%%', count(*) * 100.0 / (SELECT count(*) FROM r)) AS pct FROM r GROUP BY 1""")
+    SELECT resultado, count(*) AS qtd, printf('%.1f%%', round(count(*) / CAST((SELECT count(*) FROM r) AS DOUBLE) * 100, 1)) AS pct FROM r GROUP BY 1""")
 
 
 def _slice(name, fn, sql, by, n, *ties):

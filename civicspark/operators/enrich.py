@@ -24,6 +24,9 @@ EMBED_BATCH = 50
 THRESHOLD = 0.30
 SUMMARY_LINES = 3
 
+# Everything but letters, marks, digits and '_' separates tokens.
+_NOT_WORD = r"[^\p{L}\p{M}\p{Nd}_]+"
+
 # Theme vectors are held by every task as one matrix; more themes than this
 # many bytes of float64 are scored in several exact rounds.
 MATRIX_BYTES = 64 * 1024 * 1024
@@ -54,7 +57,7 @@ def pending_summary(proposicoes: DataFrame, limit: int | None = None) -> DataFra
 def hashed_embedding(df: DataFrame, text: str, output: str = "embedding", dimensions: int = DIMENSIONS) -> DataFrame:
     """Offline encoder: hashed token counts scaled to length 1, JVM-side. Also
     adds ``tokens``, the number of tokens of the whole text."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"(?U)\W+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), _NOT_WORD), lambda w: w != "")
     tokens = df.withColumn("_words", words).withColumn("tokens", F.size("_words").cast("bigint"))
     counted = HashingTF(numFeatures=dimensions, inputCol="_words", outputCol="_tf").transform(tokens)
     scaled = Normalizer(inputCol="_tf", outputCol="_unit").transform(counted)
