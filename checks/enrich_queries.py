@@ -25,7 +25,7 @@ _CENTROIDS = """c AS (SELECT label + 1 AS tema_id, list(m ORDER BY i) AS v FROM
       SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) u GROUP BY 1, 2) x
       GROUP BY 1)"""
 _SCORED = f"""WITH {_CENTROIDS},
-    s AS (SELECT e.vec_id, c.tema_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.v), 9) AS score FROM embeddings e CROSS JOIN c),
+    s AS (SELECT e.vec_id, c.tema_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.v), 12) AS score FROM embeddings e CROSS JOIN c),
     b AS (SELECT vec_id, arg_max(tema_id, score) AS melhor, max(score) AS score FROM s GROUP BY 1)"""
 
 query("s14_vector_parse", "SELECT vec_id, CAST(len(embedding) AS INT) AS n, TRUE AS igual FROM embeddings")(

@@ -117,8 +117,8 @@ query("f18_prompt", """
         "doc_id", text.render_prompt(F.when(F.col("doc_id") % 2 == 1, F.upper("lang")), F.col("text")).alias("prompt")))
 
 query("f19_cost", """
-    SELECT doc_id, round(n_chars * 0.02 / 1000000, 6) AS embed,
-      round((n_chars * 0.15 + doc_id * 0.60) / 1000000, 6) AS chat FROM documents""")(
+    SELECT doc_id, CAST(round(CAST(n_chars AS DECIMAL(18,0)) * 0.00000002, 6) AS DOUBLE) AS embed,
+      CAST(round(CAST(n_chars AS DECIMAL(18,0)) * 0.00000015 + CAST(doc_id AS DECIMAL(18,0)) * 0.00000060, 6) AS DOUBLE) AS chat FROM documents""")(
     lambda spark, sf: load(spark, sf, "documents").select(
         "doc_id", F.round(cost.embed_cost(F.col("n_chars")).cast("double"), 6).alias("embed"),
         F.round(cost.chat_cost(F.col("n_chars"), F.col("doc_id")).cast("double"), 6).alias("chat")))

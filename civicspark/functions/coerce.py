@@ -10,18 +10,28 @@ from .text import strip_space
 TRUE_WORDS = ("1", "true", "s", "sim", "t")
 
 
+# A failing ``try_cast`` raises and catches an exception per row, so texts that
+# are no numbers are sorted out by a pattern first.
+_WHOLE = r"^[+-]?[0-9]{1,9}$"
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def to_double(col: Column) -> Column:
-    value = strip_space(col.cast("string")).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    text = strip_space(col.cast("string"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def to_int(col: Column) -> Column:
     """'12' and '12.0' are both 12."""
-    return F.coalesce(col.try_cast("int"), to_double(col).try_cast("int"))
+    text = strip_space(col.cast("string"))
+    return F.when(text.rlike(_WHOLE), text.try_cast("int")).when(
+        text.rlike(_NUMBER), text.try_cast("double").try_cast("int")
+    )
 
 
 def to_money(col: Column) -> Column:
-    return strip_space(col.cast("string")).try_cast("decimal(12,2)")
+    text = strip_space(col.cast("string"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("decimal(12,2)"))
 
 
 def to_day(col: Column) -> Column:
@@ -35,16 +45,14 @@ def to_instant(col: Column) -> Column:
 def to_flag(col: Column) -> Column:
     """Two-valued: true words or a number whose integer part is 1."""
     text = F.lower(strip_space(col.cast("string")))
-    whole = text.try_cast("double").try_cast("int")
-    return F.coalesce(text.isin(*TRUE_WORDS), F.lit(False)) | F.coalesce(whole == 1, F.lit(False))
+    return F.coalesce(text.isin(*TRUE_WORDS) | text.rlike(r"^\+?0*1\.[0-9]*$"), F.lit(False))
 
 
 def to_approval(col: Column) -> Column:
     """Three-valued result of a vote: 1 true, 0 false, anything else NULL."""
     text = F.lower(strip_space(col.cast("string")))
-    number = text.try_cast("double")
-    return F.when((number == 1) | (text == "true"), F.lit(True)).when(
-        (number == 0) | (text == "false"), F.lit(False)
+    return F.when(text.rlike(r"^(\+?0*1(\.0*)?|true)$"), F.lit(True)).when(
+        text.rlike(r"^([+-]?0+(\.0*)?|false)$"), F.lit(False)
     )
 
 

@@ -17,7 +17,7 @@ PROPOSITION_PAGE = "https://www.camara.leg.br/proposicoesWeb/fichadetramitacao?i
 
 def numeric_tail(uri: Column) -> Column:
     """Last path segment as INT when it is all digits, else NULL."""
-    return F.regexp_extract(uri, r"(?:^|/)([0-9]+)/*$", 1).try_cast("int")
+    return F.nullif(F.regexp_extract(uri, r"(?:^|/)([0-9]+)/*$", 1), F.lit("")).try_cast("int")
 
 
 def resource_of(uri: Column) -> Column:
@@ -43,7 +43,7 @@ def path_identifier(path: Column) -> Column:
 
 def owner_id(endpoint: Column) -> Column:
     """Numeric second segment: '/deputados/12/despesas' -> 12."""
-    return F.regexp_extract(endpoint, r"^/*[^/]+/+([0-9]+)(?:/|$)", 1).try_cast("int")
+    return F.nullif(F.regexp_extract(endpoint, r"^/*[^/]+/+([0-9]+)(?:/|$)", 1), F.lit("")).try_cast("int")
 
 
 def owner_key(endpoint: Column) -> Column:

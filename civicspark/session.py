@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes of bytecode: wide
+    # cleaning projections run faster as split methods than as one fused stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Dimensions are joined without hints: below this size Catalyst broadcasts
     # them, above it the same join runs as a (skew-aware) shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
