@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from civicspark.functions import uri
-from civicspark.operators import bridges, dedup, quality, transforms, upsert as U
-from civicspark.plans import views as V
+from civicspark import schemas
+from civicspark.operators import bridges, dedup, load as load_jobs, quality, transforms, upsert as U
 from civicspark.session import scratch_path
 from civicspark.sources import datasets, envelopes as env, store
 from civicspark.streaming import landing
@@ -274,6 +273,47 @@ query("s20_row_counts", " UNION ALL ".join(f"SELECT '{t}' AS tabela, count(*) AS
     "fato_votacao_votos", "fato_despesas")))(
     lambda spark, sf: store.row_counts(dict(tables(spark, sf))))
 
+query("u13_conform", """
+    SELECT CAST(o_orderkey AS INT) AS proposicao_id, CAST(NULL AS DATE) AS data_apresentacao, o_orderstatus AS tipo, o_orderpriority AS ementa,
+      CAST(NULL AS INT) AS autor_id, CASE WHEN o_orderkey % 2 = 0 THEN 7 END AS tema_id, FALSE AS autores_carregados, 0 AS qtd_autores FROM orders""")(
+    lambda spark, sf: schemas.conform(
+        sql(spark, sf, "SELECT o_orderkey AS proposicao_id, o_orderstatus AS tipo, o_orderpriority AS ementa, o_custkey AS unknown, "
+                       "CASE WHEN o_orderkey % 2 = 0 THEN 7.0D ELSE CAST('NaN' AS DOUBLE) END AS tema_id FROM {orders}"),
+        "fato_proposicoes").select("proposicao_id", "data_apresentacao", "tipo", "ementa", "autor_id", "tema_id", "autores_carregados", "qtd_autores"))
+
+
+def _landed_core(spark, sf):
+    """The four core listings landed as raw envelopes and loaded twice."""
+    raw_dir = scratch_path(spark, "raw")
+    for entity in ("partidos", "deputados", "proposicoes", "votacoes"):
+        env.land(table(spark, sf, f"raw_{entity}").drop(*env.ORIGIN), raw_dir, entity, "2026-01-01T00-00-00Z")
+    st = store.StarStore(spark, scratch_path(spark, "star"))
+    for _ in range(2):
+        load_jobs.load_core(st, raw_dir, F.current_timestamp(), multi_line=False)
+    return st
+
+
+query("u12_core_load", f"""
+    SELECT 'dim_partidos' AS tabela, count(DISTINCT CAST(id AS DOUBLE)) AS linhas FROM raw_partidos WHERE {_safe('sigla')} IS NOT NULL
+    UNION ALL SELECT 'dim_deputados', count(DISTINCT id) FROM raw_deputados WHERE {_safe('siglaUf')} IS NOT NULL
+    UNION ALL SELECT 'fato_proposicoes', count(DISTINCT id) FROM raw_proposicoes WHERE {_safe('ementa')} IS NOT NULL
+    UNION ALL SELECT 'fato_votacoes', count(DISTINCT id) FROM raw_votacoes WHERE data <> 'x'""")(
+    lambda spark, sf: _core_counts(_landed_core(spark, sf)))
+
+
+def _core_counts(st):
+    return store.row_counts({name: st.read(name) for name in load_jobs.CORE_ORDER})
+
+
+@query("u11_error_log", "SELECT etapa, entidade_tipo, count(*) AS n FROM (SELECT 'autores' AS etapa, event_type AS entidade_tipo FROM events UNION ALL SELECT 'votos', event_type FROM events) e GROUP BY 1, 2")
+def _u11(spark, sf):
+    """Two appends to the error log."""
+    st = store.StarStore(spark, scratch_path(spark, "star"))
+    for stage in ("autores", "votos"):
+        st.write("pipeline_erros", load(spark, sf, "events").select(F.lit(stage).alias("etapa"), F.col("event_type").alias("entidade_tipo")))
+    return st.read("pipeline_erros").groupBy("etapa", "entidade_tipo").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- joins and lookups ----------------------------------------------------------
 
 query("j9_resolve_party", """

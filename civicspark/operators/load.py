@@ -42,13 +42,15 @@ def apply_batch(store: StarStore, table: str, batch: DataFrame, now: Column, *,
     if rows == 0:
         return 0
     small = size <= SMALL_BATCH_BYTES
-    policy = ups.POLICIES[table]
-    store.write(table, ups.upsert(store.read(table), staged, policy, now, order=order, batch_is_small=small))
+    stored = store.read(table, store.touched(table, staged))
+    merged = ups.upsert(stored, staged, ups.POLICIES[table], now, order=order, batch_is_small=small)
+    store.write(table, merged)
     return rows
 
 
 def append_errors(store: StarStore, errors: DataFrame) -> None:
-    store.write("pipeline_erros", store.read("pipeline_erros").unionByName(stage(errors, "errors")))
+    """The error log only grows: every load adds its own version."""
+    store.write("pipeline_erros", errors)
 
 
 def read_core(spark: SparkSession, raw_dir: str, *, multi_line: bool = True) -> dict[str, DataFrame]:
@@ -111,7 +113,8 @@ def load_authorship(
     append_errors(store, job["errors"])
     apply_batch(store, "ponte_proposicao_autores", job["ponte"], now)
     # last, so that an interrupted run leaves the items pending
-    store.write("fato_proposicoes", ups.set_author_flags(props, flags))
+    stored = store.read("fato_proposicoes", store.touched("fato_proposicoes", flags))
+    store.write("fato_proposicoes", ups.set_author_flags(stored, flags))
     return counters
 
 
@@ -129,6 +132,7 @@ def load_roll_calls(
     links, flags = stage(job["links"], "links"), stage(job["flags"], "flags")
     append_errors(store, job["errors"])
     apply_batch(store, "fato_votacao_votos", job["votos"], now)
-    linked = ups.set_vote_links(votings, links, store.read("fato_proposicoes"))
+    touched = store.touched("fato_votacoes", links.select("votacao_id").union(flags.select("votacao_id")))
+    linked = ups.set_vote_links(store.read("fato_votacoes", touched), links, store.read("fato_proposicoes"))
     store.write("fato_votacoes", ups.set_vote_flags(linked, flags))
     return counters

@@ -1,57 +1,105 @@
 """Star tables as immutable Parquet versions: ``<root>/<table>/v=<n>/``.
 
-A load never writes the folder it reads. Readers take the highest version
-whose write finished (``_SUCCESS``), so a lost driver or executor leaves the
-previous version in place and the load can simply be run again.
+A load never writes the folder it reads. A version counts once its job has
+finished (``_SUCCESS``), so a lost driver or executor leaves the previous state
+in place and the load can simply be run again.
+
+Big facts are split by ranges of their key (``v=<n>/faixa=<range>/``). Source
+ids grow with time, so a daily batch touches a few ranges; a load reads and
+writes only those, and the current table is the newest version of each range.
+A row's key fixes its range, so matching never has to look elsewhere.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 
-# Big facts are laid out by the column their date filters use.
-PARTITIONS = {"fato_despesas": "ano"}
+RANGE_KEYS = {
+    "fato_proposicoes": "proposicao_id",
+    "fato_votacoes": "votacao_id",
+    "ponte_proposicao_autores": "proposicao_id",
+    "fato_votacao_votos": "votacao_id",
+    "fato_despesas": "cod_documento",
+}
+APPEND_ONLY = ("pipeline_erros",)
+RANGE_WIDTH = 1_000_000
+# Keys that do not start with digits spread over this many negative ranges.
+TEXT_RANGES = 64
+
+
+def key_range(key: Column, width: int = RANGE_WIDTH) -> Column:
+    digits = F.nullif(F.regexp_extract(key.cast("string"), r"^([0-9]{1,15})", 1), F.lit(""))
+    number = F.floor(digits.cast("bigint") / F.lit(width)).cast("bigint")
+    return F.coalesce(number, F.lit(-1) - F.pmod(F.xxhash64(key), F.lit(TEXT_RANGES)))
 
 
 class StarStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, range_width: int = RANGE_WIDTH):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.range_width = range_width
+
+    def _glob(self, pattern: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return [status.getPath() for status in found or []]
 
     def versions(self, table: str) -> list[int]:
-        jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/v=*/_SUCCESS")
-        fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = fs.globStatus(pattern) or []
-        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+        """Finished versions, oldest first."""
+        return sorted(int(p.getParent().getName().split("=")[1]) for p in self._glob(f"{table}/v=*/_SUCCESS"))
 
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version:08d}"
 
-    def read(self, table: str) -> DataFrame:
-        """Newest finished version; an unknown table is empty."""
-        versions = self.versions(table)
-        if not versions:
+    def ranges(self, table: str) -> dict[int, str]:
+        """Key range -> folder of its newest finished version."""
+        finished, newest = set(self.versions(table)), {}
+        for p in self._glob(f"{table}/v=*/faixa=*"):
+            version, number = int(p.getParent().getName().split("=")[1]), int(p.getName().split("=")[1])
+            if version in finished and version > newest.get(number, (0, ""))[0]:
+                newest[number] = (version, f"{self.path(table, version)}/faixa={number}")
+        return {number: path for number, (_, path) in newest.items()}
+
+    def touched(self, table: str, batch: DataFrame) -> list[int] | None:
+        """Key ranges a staged batch falls into; None for undivided tables."""
+        key = RANGE_KEYS.get(table)
+        if key is None:
+            return None
+        found = batch.select(key_range(F.col(key), self.range_width).alias("r")).distinct().collect()
+        return sorted(row["r"] for row in found)
+
+    def read(self, table: str, only: Iterable[int] | None = None) -> DataFrame:
+        """Current rows, of the given key ranges only where ``only`` is set;
+        an unknown table is empty."""
+        versions, shape = self.versions(table), schemas.struct_type(table)
+        if table in RANGE_KEYS:
+            current = self.ranges(table)
+            paths = list(current.values()) if only is None else [current[n] for n in only if n in current]
+        elif table in APPEND_ONLY:
+            paths = [self.path(table, v) for v in versions]
+        else:
+            paths = [self.path(table, v) for v in versions[-1:]]
+        if not paths:
             return schemas.empty_table(self.spark, table)
-        names = schemas.struct_type(table).names
-        return self.spark.read.schema(schemas.struct_type(table)).parquet(
-            self.path(table, versions[-1])
-        ).select(*names)
+        reader = self.spark.read.schema(shape).option("basePath", f"{self.root}/{table}")
+        return reader.parquet(*paths).select(*shape.names)
 
     def write(self, table: str, df: DataFrame) -> int:
-        """Write the next version and return its number. The rebalance hint
-        lets AQE split a hot partition value over several files."""
+        """Write the next version and return its number. Of a divided table
+        the frame must hold every row of each range it contains. The rebalance
+        hint lets AQE spread a hot range over several files."""
         version = (self.versions(table) or [0])[-1] + 1
-        by = PARTITIONS.get(table)
-        out = schemas.conform(df, table)
-        if by:
-            out.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(self.path(table, version))
-        else:
+        out, key = schemas.conform(df, table), RANGE_KEYS.get(table)
+        if key is None:
             out.write.mode("overwrite").parquet(self.path(table, version))
+        else:
+            split = out.withColumn("faixa", key_range(F.col(key), self.range_width))
+            split.hint("rebalance", "faixa").write.mode("overwrite").partitionBy("faixa").parquet(self.path(table, version))
         return version
 
     def tables(self) -> dict[str, DataFrame]:

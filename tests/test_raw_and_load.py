@@ -227,6 +227,30 @@ def test_store_ignores_unfinished_versions(spark, tmp_path):
     assert store.read("dim_temas").count() == 2
 
 
+def test_loads_rewrite_only_the_key_ranges_they_touch(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path / "star"), range_width=100)
+    props = lambda ids, text: spark.createDataFrame([(i, "PL", text) for i in ids], "proposicao_id INT, tipo STRING, ementa STRING")
+    assert load.apply_batch(store, "fato_proposicoes", props(range(0, 500, 50), "old"), now()) == 10
+    load.apply_batch(store, "fato_proposicoes", props([150, 160], "new"), now())
+    assert {n: int(p.split("v=")[1][:8]) for n, p in store.ranges("fato_proposicoes").items()} == {0: 1, 1: 2, 2: 1, 3: 1, 4: 1}
+    got = {r["proposicao_id"]: r["ementa"] for r in rows(store.read("fato_proposicoes"))}
+    assert got == {**{i: "old" for i in range(0, 500, 50)}, 150: "new", 160: "new"}
+    # an unfinished version does not count
+    (tmp_path / "star" / "fato_proposicoes" / "v=00000003" / "faixa=1").mkdir(parents=True)
+    assert store.read("fato_proposicoes").count() == 11
+    votes = spark.sql("SELECT 'x-1' AS votacao_id, timestamp'2026-01-01' AS data UNION ALL SELECT '2265603-49', timestamp'2026-01-01'")
+    assert load.apply_batch(store, "fato_votacoes", votes, now()) == 2 and min(store.ranges("fato_votacoes")) < 0
+    load.apply_batch(store, "fato_votacoes", votes, now())
+    assert store.read("fato_votacoes").count() == 2
+
+
+def test_error_log_grows(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path / "star"))
+    for n in range(2):
+        load.append_errors(store, spark.sql(f"SELECT 'autores' AS etapa, 'm{n}' AS mensagem"))
+    assert sorted(r["mensagem"] for r in rows(store.read("pipeline_erros"))) == ["m0", "m1"]
+
+
 def test_owner_key_of_text_ids(spark):
     df = spark.sql("SELECT '/votacoes/2265603-49/votos' AS e")
     assert df.select(uri.owner_key(F.col("e"))).first()[0] == "2265603-49"
