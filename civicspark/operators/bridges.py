@@ -6,6 +6,7 @@ error row and leaves the rest of the batch alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +15,7 @@ from ..functions import uri
 from ..sources import envelopes as env
 from ..sources.datasets import DATASETS
 from . import transforms
+from .dedup import keep_first
 from .upsert import error_rows
 
 # Log texts and default batch limits.
@@ -65,6 +67,14 @@ def fetched_items(spark: SparkSession, raw_dir: str, dataset: str, *, multi_line
     return fetched, rows
 
 
+# Keeps an intermediate result that several outputs share; a load stores it.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def _as_is(df: DataFrame, label: str) -> DataFrame:
+    return df
+
+
 def _counters(parts: list[DataFrame], names: list[str]) -> DataFrame:
     """One row out of one-row frames that each know some of the counters."""
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -95,11 +105,11 @@ def _broken_text() -> Column:
 
 
 def authorship(
-    targets: DataFrame, fetched: DataFrame, records: DataFrame, deputados: DataFrame, now: Column
+    targets: DataFrame, fetched: DataFrame, records: DataFrame, deputados: DataFrame, now: Column, keep: Keep = _as_is
 ) -> dict[str, DataFrame]:
     """Authorship job: bridge rows, flags per proposition, errors, counters."""
     readable, broken, mine = _work(targets, fetched, records, "proposicao_id")
-    with_origin = transforms.autores(mine, keep_origin=True)
+    with_origin = keep(transforms.autores(mine, keep_origin=True), "authors")
     authors = with_origin.drop(*env.ORIGIN)
     elected = transforms.main_authors(with_origin)
     flags = readable.select("proposicao_id").join(elected, "proposicao_id", "left").withColumn(
@@ -128,7 +138,7 @@ def authorship(
 
 
 def roll_call(
-    targets: DataFrame, fetched: DataFrame, records: DataFrame, details: DataFrame, now: Column
+    targets: DataFrame, fetched: DataFrame, records: DataFrame, details: DataFrame, now: Column, keep: Keep = _as_is
 ) -> dict[str, DataFrame]:
     """Roll-call job: links, single votes, flags, errors, counters. A vote
     without single votes is symbolic: loaded, not an error.
@@ -138,8 +148,8 @@ def roll_call(
     readable, broken, mine = _work(targets, fetched, records, "votacao_id")
     detail = details.join(targets, "votacao_id", "left_semi")
     bad_detail = F.col("_corrupt").isNotNull() if "_corrupt" in details.columns else F.lit(False)
-    links = transforms.vote_links(detail.where(~bad_detail))
-    votes = transforms.votos(mine)
+    links = keep(transforms.vote_links(detail.where(~bad_detail)), "links")
+    votes = keep(transforms.votos(mine), "votes")
     per_vote = votes.groupBy("votacao_id").agg(F.count(F.lit(1)).cast("int").alias("qtd_votos"))
     flags = readable.select("votacao_id").join(per_vote, "votacao_id", "left").withColumn(
         "qtd_votos", F.coalesce("qtd_votos", F.lit(0))
@@ -169,6 +179,4 @@ def newest_details(spark: SparkSession, raw_dir: str, *, multi_line: bool = True
     docs = env.details(spark, raw_dir, ds.entity, ds.record, multi_line=multi_line)
     from_name = F.nullif(F.regexp_extract("_snapshot", r"_(.+)\.json$", 1), F.lit(""))
     keyed = docs.withColumn("votacao_id", F.coalesce(uri.owner_key(F.col("_endpoint")), from_name))
-    from .dedup import keep_first
-
     return keep_first(keyed.where(F.col("votacao_id").isNotNull()), ["votacao_id"], [F.desc("_snapshot"), F.desc("_part")])

@@ -107,7 +107,7 @@ def load_authorship(
     props = store.read("fato_proposicoes")
     targets = stage(bridges.pending_authorship(props, limit, proposicao_id), "targets")
     fetched, rows = bridges.fetched_items(store.spark, raw_dir, "proposicoes_autores", multi_line=multi_line)
-    job = bridges.authorship(targets, fetched, rows, store.read("dim_deputados"), now)
+    job = bridges.authorship(targets, fetched, rows, store.read("dim_deputados"), now, keep=stage)
     counters = _first_row(job["counters"])
     flags = stage(job["flags"], "flags")
     append_errors(store, job["errors"])
@@ -127,9 +127,9 @@ def load_roll_calls(
     targets = stage(bridges.pending_votes(votings, limit, votacao_id), "targets")
     fetched, rows = bridges.fetched_items(store.spark, raw_dir, "votacoes_votos", multi_line=multi_line)
     details = bridges.newest_details(store.spark, raw_dir, multi_line=multi_line)
-    job = bridges.roll_call(targets, fetched, rows, details, now)
+    job = bridges.roll_call(targets, fetched, rows, details, now, keep=stage)
     counters = _first_row(job["counters"])
-    links, flags = stage(job["links"], "links"), stage(job["flags"], "flags")
+    links, flags = job["links"], stage(job["flags"], "flags")
     append_errors(store, job["errors"])
     apply_batch(store, "fato_votacao_votos", job["votos"], now)
     touched = store.touched("fato_votacoes", links.select("votacao_id").union(flags.select("votacao_id")))

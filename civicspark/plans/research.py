@@ -8,11 +8,16 @@ from . import views
 from .views import Tables
 
 
-def party_cohesion(t: Tables) -> DataFrame:
-    """Per vote and party: voters, size of the majority choice, its share.
-    Votes without a choice or party do not count."""
+def _choices(t: Tables) -> DataFrame:
+    """Votes with a choice and a party, equal rows collapsed and counted."""
     votes = t["fato_votacao_votos"].where(F.col("tipo_voto").isNotNull() & F.col("sigla_partido_voto").isNotNull())
-    per_choice = votes.groupBy("votacao_id", "sigla_partido_voto", "tipo_voto").agg(F.count(F.lit(1)).alias("n"))
+    return votes.groupBy("votacao_id", "sigla_partido_voto", "deputado_id", "tipo_voto").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def _majorities(choices: DataFrame) -> DataFrame:
+    per_choice = choices.groupBy("votacao_id", "sigla_partido_voto", "tipo_voto").agg(F.sum("n").alias("n"))
     return per_choice.groupBy("votacao_id", "sigla_partido_voto").agg(
         F.sum("n").alias("votos"),
         F.max("n").alias("maioria"),
@@ -21,6 +26,12 @@ def party_cohesion(t: Tables) -> DataFrame:
     ).withColumn("coesao", F.col("maioria") / F.col("votos"))
 
 
+def party_cohesion(t: Tables) -> DataFrame:
+    """Per vote and party: voters, size of the majority choice, its share.
+    Votes without a choice or party do not count."""
+    return _majorities(_choices(t))
+
+
 def cohesion_per_party(t: Tables) -> DataFrame:
     return party_cohesion(t).groupBy(F.col("sigla_partido_voto").alias("sigla")).agg(
         F.count(F.lit(1)).alias("votacoes"),
@@ -30,12 +41,12 @@ def cohesion_per_party(t: Tables) -> DataFrame:
 
 
 def deputy_loyalty(t: Tables) -> DataFrame:
-    """Share of a deputy's votes that follow the party majority. Equal votes
-    of a deputy collapse first; AQE splits a hot (vote, party) in the join."""
+    """Share of a deputy's votes that follow the party majority. Both sides of
+    the join start from the same collapsed votes, so the fact is read and
+    shuffled once; AQE splits a hot (vote, party) in the join."""
     keys = ["votacao_id", "sigla_partido_voto"]
-    votes = t["fato_votacao_votos"].where(F.col("tipo_voto").isNotNull() & F.col("sigla_partido_voto").isNotNull())
-    mine = votes.groupBy(*keys, "deputado_id", "tipo_voto").agg(F.count(F.lit(1)).alias("n"))
-    line = party_cohesion(t).select(*keys, "voto_maioria")
+    mine = _choices(t)
+    line = _majorities(mine).select(*keys, "voto_maioria")
     same = F.when(F.col("tipo_voto") == F.col("voto_maioria"), F.col("n")).otherwise(0)
     return mine.join(line, keys).groupBy("deputado_id").agg(
         F.sum("n").alias("votos"),
