@@ -106,6 +106,20 @@ query("b12_cost_per_month", f"""WITH {_LOG}, m AS (SELECT CAST(date_trunc('month
     SELECT periodo, operacao, execucoes, tokens, custo_usd, sum(custo_usd) OVER (PARTITION BY periodo) <= 10 AS dentro_do_teto FROM m""")(
     lambda spark, sf: costlog.roll_up(_cost_log(spark, sf)).withColumn("custo_usd", F.round(F.col("custo_usd").cast("double"), 6)))
 
+query("a15_run_totals", """
+    SELECT DATE '2026-06-14' AS data, 'summarize_pending' AS operacao, CAST(sum(n_chars) + sum(doc_id) AS BIGINT) AS tokens,
+      CAST(round(CAST(sum(n_chars) AS DECIMAL(18,0)) * 0.00000015 + CAST(sum(doc_id) AS DECIMAL(18,0)) * 0.00000060, 6) AS DOUBLE) AS custo_usd, 'm' AS modelo
+    FROM documents
+    UNION ALL SELECT DATE '2026-06-14', 'embed_pending', CAST(sum(n_chars) AS BIGINT),
+      CAST(round(CAST(sum(n_chars) AS DECIMAL(18,0)) * 0.00000002, 6) AS DOUBLE), 'm' FROM documents""")(
+    lambda spark, sf: costlog.summary_entry(
+        load(spark, sf, "documents").selectExpr("n_chars AS tokens_in", "doc_id AS tokens_out"), "2026-06-14", "m").unionByName(
+        costlog.embed_entry(load(spark, sf, "documents").selectExpr("n_chars AS tokens"), "2026-06-14", "m")))
+
+query("b13_semantic_search_approx")(
+    lambda spark, sf: enrich.search_approx(
+        load(spark, sf, "embeddings"), _themes(spark, sf).where("tema_id = 4").first()["vetor"], "vec_id", k=25))
+
 query("b13_semantic_search", f"""WITH {_CENTROIDS}
     SELECT e.vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.v), 6) AS score FROM embeddings e, c WHERE c.tema_id = 4
     ORDER BY list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.v) DESC, e.vec_id LIMIT 25""")(

@@ -171,6 +171,15 @@ def _s3(spark, sf):
     return docs.groupBy(kind.alias("kind")).agg(F.sum(F.size("dados")).alias("n"))
 
 
+@query("s12_page_concat", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS nome FROM customer")
+def _s12(spark, sf):
+    """Many pages of one listing read as one."""
+    rows = load(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS id", "c_name AS nome")
+    raw_dir = scratch_path(spark, "raw")
+    env.land(rows, raw_dir, "partidos", "2026-01-01T00-00-00Z", page_size=15)
+    return datasets.read_dataset(spark, raw_dir, "partidos", multi_line=False).select("id", "nome")
+
+
 def _expense_dir(spark, sf):
     rows = table(spark, sf, "raw_despesas").drop(*env.ORIGIN)
     endpoint = F.concat(F.lit("/deputados/"), F.col("_owner"), F.lit("/despesas"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.cost import MONTHLY_CAP
+from ..functions.cost import MONTHLY_CAP, chat_cost, embed_cost
 
 SCHEMA = "data DATE, operacao STRING, tokens BIGINT, custo_usd DECIMAL(12,6), modelo STRING"
 
@@ -20,6 +20,26 @@ def append(rows: DataFrame, path: str) -> None:
     ).csv(path)
 
 
+def _entry(df: DataFrame, day, operation: str, tokens, price, model: str) -> DataFrame:
+    return df.select(
+        F.lit(day).cast("date").alias("data"), F.lit(operation).alias("operacao"), tokens.alias("tokens"),
+        price.cast("decimal(12,6)").alias("custo_usd"), F.lit(model).alias("modelo"),
+    )
+
+
+def embed_entry(results: DataFrame, day, model: str) -> DataFrame:
+    """Log row of one embedding run: all tokens and their price."""
+    total = results.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t"))
+    return _entry(total, day, "embed_pending", F.col("t"), embed_cost(F.col("t")), model)
+
+
+def summary_entry(results: DataFrame, day, model: str) -> DataFrame:
+    """Log row of one summary run: tokens read and written."""
+    total = results.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens_in", "tokens_out")])
+    used, made = F.col("tokens_in"), F.col("tokens_out")
+    return _entry(total, day, "summarize_pending", used + made, chat_cost(used, made), model)
+
+
 def roll_up(log: DataFrame, grain: str = "month") -> DataFrame:
     """Tokens and dollars per operation and day or month; months also tell
     whether all operations together stay within the cap."""
