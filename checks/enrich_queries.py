@@ -10,7 +10,7 @@ from civicspark.session import scratch_path
 from civicspark.sources import costlog
 
 from .registry import query
-from .standins import load, sql, table
+from .standins import documents, load, sql, table
 
 _DIM = 256
 
@@ -65,7 +65,7 @@ query("b9_classification_counts", f"""{_SCORED} SELECT count(*) FILTER (WHERE sc
 
 query("b10_hashed_embedding", r"""
     SELECT doc_id, len(list_filter(string_split_regex(lower(text), '[^\p{L}\p{M}\p{Nd}_]+'), lambda w: w <> '')) AS tokens FROM documents""")(
-    lambda spark, sf: enrich.hashed_embedding(load(spark, sf, "documents"), "text", dimensions=_DIM).where(
+    lambda spark, sf: enrich.hashed_embedding(documents(spark, sf), "text", dimensions=_DIM).where(
         F.abs(vectors.norm(F.col("embedding")) - 1) < 1e-5).select("doc_id", "tokens"))
 
 
@@ -82,7 +82,7 @@ query("b10_embed_job", """
         _length_encoder).select("proposicao_id", F.col("embedding")[0].cast("double").alias("primeiro"), F.col("erro").isNull().alias("ok")))
 
 query("b11_summaries")(
-    lambda spark, sf: enrich.summarize(load(spark, sf, "documents").select("doc_id", F.col("text").alias("ementa")), key="doc_id"))
+    lambda spark, sf: enrich.summarize(documents(spark, sf).select("doc_id", F.col("text").alias("ementa")), key="doc_id"))
 
 
 def _cost_log(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from civicspark.functions import coerce, cost, formats, text, uri
 
 from .registry import query
-from .standins import load, sql, table
+from .standins import documents, load, sql
 
 # White space as DuckDB's regular expressions must spell it.
 _WS = r"[\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -35,18 +35,18 @@ query("f1_safe_str", f"SELECT event_id, {_safe('m')} AS s FROM (SELECT event_id,
         "event_id", text.safe_str(F.col("m")).alias("s")))
 
 query("f2_clean_text", f"SELECT doc_id, {_clean('text')} AS t, substr({_clean('text')}, 1, 40) AS cut FROM documents")(
-    lambda spark, sf: load(spark, sf, "documents").select(
+    lambda spark, sf: documents(spark, sf).select(
         "doc_id", text.clean_text(F.col("text")).alias("t"), text.clean_text(F.col("text"), 40).alias("cut")))
 
 query("f3_strip_accents", "SELECT doc_id, strip_accents(text) AS t FROM documents")(
-    lambda spark, sf: load(spark, sf, "documents").select("doc_id", text.strip_accents(F.col("text"), "NFD").alias("t")))
+    lambda spark, sf: documents(spark, sf).select("doc_id", text.strip_accents(F.col("text"), "NFD").alias("t")))
 
 query("f3_strip_accents_full")(
-    lambda spark, sf: load(spark, sf, "documents").select("doc_id", text.strip_accents_full("text").alias("t")))
+    lambda spark, sf: documents(spark, sf).select("doc_id", text.strip_accents_full("text").alias("t")))
 
 query("f4_normalize_key", """
     SELECT doc_id, trim(regexp_replace(lower(strip_accents(lower(text))), '[^a-z0-9]+', '_', 'g'), '_') AS k FROM documents""")(
-    lambda spark, sf: load(spark, sf, "documents").select("doc_id", text.normalize_key(F.col("text")).alias("k")))
+    lambda spark, sf: documents(spark, sf).select("doc_id", text.normalize_key(F.col("text")).alias("k")))
 
 _DOC = "CASE WHEN c_custkey % 9 = 0 THEN ' - ' WHEN c_custkey % 9 = 1 THEN 'nan' ELSE '00.' || CAST(c_custkey AS STRING) || '/0001-04 ' END"
 query("f5_normalize_cnpj_cpf", f"""
@@ -162,7 +162,7 @@ query("f25_link", f"SELECT o_orderkey, '{uri.PROPOSITION_PAGE}' || CAST(o_orderk
     lambda spark, sf: load(spark, sf, "orders").select("o_orderkey", uri.proposition_link(F.col("o_orderkey")).alias("link")))
 
 query("f26_theme_key", "SELECT doc_id, regexp_replace(strip_accents(lower(text)), '[^a-z]', '', 'g') AS k FROM documents")(
-    lambda spark, sf: load(spark, sf, "documents").select("doc_id", text.theme_key(F.col("text")).alias("k")))
+    lambda spark, sf: documents(spark, sf).select("doc_id", text.theme_key(F.col("text")).alias("k")))
 
 _PATH = """CASE o_orderkey % 6 WHEN 0 THEN '/deputados' WHEN 1 THEN '/deputados/' || CAST(o_custkey AS STRING) || '/despesas'
     WHEN 2 THEN 'votacoes/' || CAST(o_custkey AS STRING) || '-49/Votos/' WHEN 3 THEN '/' || o_orderpriority

@@ -176,14 +176,26 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy row work on an input with fewer splits than
+    cores (a single small file); a large input is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def sql(spark: SparkSession, sf_dir: str, text: str, heavy: bool = False) -> DataFrame:
     """Run a text whose ``{source}`` marks are driver tables."""
-    used = set(_MARK.findall(text))
-    return spark.sql(text, **{name: load(spark, sf_dir, name) for name in used})
+    used = {name: load(spark, sf_dir, name) for name in _MARK.findall(text)}
+    return spark.sql(text, **{name: spread(df) if heavy else df for name, df in used.items()})
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return sql(spark, sf_dir, ALL[name])
+    """One stand-in; raw records are cleaned, which is heavy row work."""
+    return sql(spark, sf_dir, ALL[name], heavy=name in RAW)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(load(spark, sf_dir, "documents"))
 
 
 class Star(Mapping):

@@ -14,6 +14,7 @@ TRUE_WORDS = ("1", "true", "s", "sim", "t")
 # are no numbers are sorted out by a pattern first.
 _WHOLE = r"^[+-]?[0-9]{1,9}$"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_ISO = r"^[0-9]{4}(-|$)"
 
 
 def to_double(col: Column) -> Column:
@@ -35,11 +36,13 @@ def to_money(col: Column) -> Column:
 
 
 def to_day(col: Column) -> Column:
-    return strip_space(col.cast("string")).try_cast("date")
+    text = strip_space(col.cast("string"))
+    return F.when(text.rlike(_ISO), text.try_cast("date"))
 
 
 def to_instant(col: Column) -> Column:
-    return strip_space(col.cast("string")).try_cast("timestamp")
+    text = strip_space(col.cast("string"))
+    return F.when(text.rlike(_ISO), text.try_cast("timestamp"))
 
 
 def to_flag(col: Column) -> Column:

@@ -4,6 +4,8 @@ valid record wins."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import coerce, uri
@@ -24,8 +26,12 @@ def _column(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
-def _finish(df: DataFrame, keys: list[str]) -> DataFrame:
-    return keep_first(df, keys).drop(*ORIGIN)
+def _finish(df: DataFrame, keys: list[str], valid: Column) -> DataFrame:
+    return keep_first(df, keys, valid=valid).drop(*ORIGIN)
+
+
+def _present(*names: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
 
 
 def partidos(records: DataFrame) -> DataFrame:
@@ -35,7 +41,7 @@ def partidos(records: DataFrame) -> DataFrame:
         safe_str(F.col("sigla")).alias("sigla"),
         clean_safe(F.col("nome")).alias("nome"),
     )
-    return _finish(rows.dropna(subset=["partido_id", "sigla"]), ["partido_id"])
+    return _finish(rows, ["partido_id"], _present("partido_id", "sigla"))
 
 
 def deputados(records: DataFrame) -> DataFrame:
@@ -52,7 +58,7 @@ def deputados(records: DataFrame) -> DataFrame:
         safe_str(_column(records, "uri")).alias("uri"),
         F.lit(IN_OFFICE).alias("situacao"),
     )
-    return _finish(rows.dropna(subset=["deputado_id", "nome", "uf"]), ["deputado_id"])
+    return _finish(rows, ["deputado_id"], _present("deputado_id", "nome", "uf"))
 
 
 def proposicoes(records: DataFrame) -> DataFrame:
@@ -66,8 +72,7 @@ def proposicoes(records: DataFrame) -> DataFrame:
         F.lit(None).cast("int").alias("autor_id"),
         F.lit(None).cast("int").alias("tema_id"),
     )
-    valid = rows.where(F.col("proposicao_id").isNotNull() & (F.col("ementa") != ""))
-    return _finish(valid, ["proposicao_id"])
+    return _finish(rows, ["proposicao_id"], _present("proposicao_id") & (F.col("ementa") != ""))
 
 
 def votacoes(records: DataFrame) -> DataFrame:
@@ -80,7 +85,7 @@ def votacoes(records: DataFrame) -> DataFrame:
         coerce.to_approval(_column(records, "aprovacao")).alias("aprovacao"),
         F.lit(None).cast("int").alias("proposicao_id"),
     )
-    return _finish(rows.dropna(subset=["votacao_id", "data"]), ["votacao_id"])
+    return _finish(rows, ["votacao_id"], _present("votacao_id", "data"))
 
 
 def despesas_fields(records: DataFrame) -> DataFrame:
@@ -110,10 +115,8 @@ def despesas_fields(records: DataFrame) -> DataFrame:
 
 def despesas(records: DataFrame) -> DataFrame:
     """Needs a document, a deputy and a positive amount."""
-    rows = despesas_fields(records).where(
-        F.col("cod_documento").isNotNull() & F.col("deputado_id").isNotNull() & (F.col("valor_documento") > 0)
-    )
-    return _finish(rows, ["cod_documento", "parcela"])
+    valid = _present("cod_documento", "deputado_id") & (F.col("valor_documento") > 0)
+    return _finish(despesas_fields(records), ["cod_documento", "parcela"], valid)
 
 
 def autores_all(records: DataFrame) -> DataFrame:
@@ -191,7 +194,7 @@ def votos(records: DataFrame) -> DataFrame:
         coerce.to_instant(F.col("dataRegistroVoto")).alias("data_registro_voto"),
         json_text(*payload).alias("raw_payload"),
     )
-    return _finish(rows.dropna(subset=["deputado_id"]), ["votacao_id", "deputado_id"])
+    return _finish(rows, ["votacao_id", "deputado_id"], _present("deputado_id"))
 
 
 def vote_links(detail: DataFrame) -> DataFrame:
