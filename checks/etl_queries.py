@@ -292,13 +292,12 @@ query("u13_conform", """
 
 
 def _landed_core(spark, sf):
-    """The four core listings landed as raw envelopes and loaded twice."""
+    """The four core listings landed as raw envelopes and loaded."""
     raw_dir = scratch_path(spark, "raw")
     for entity in ("partidos", "deputados", "proposicoes", "votacoes"):
         env.land(table(spark, sf, f"raw_{entity}").drop(*env.ORIGIN), raw_dir, entity, "2026-01-01T00-00-00Z")
     st = store.StarStore(spark, scratch_path(spark, "star"))
-    for _ in range(2):
-        load_jobs.load_core(st, raw_dir, F.current_timestamp(), multi_line=False)
+    load_jobs.load_core(st, raw_dir, F.current_timestamp(), multi_line=False)
     return st
 
 
