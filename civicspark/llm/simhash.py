@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE, id_col: str = "doc_id",
         run, "doc_id long, fingerprint long")
 
 
-def _unary_counts(fp):
+def unary_counts(fp):
     """Bit counts of the 32 two-bit segments, in unary: a segment holds as many low bits as it has set bits."""
     even = F.lit(0x5555555555555555)
     low, high = fp.bitwiseAND(even), F.shiftrightunsigned(fp, 1).bitwiseAND(even)
@@ -118,7 +118,7 @@ def links(prints: DataFrame, radius: int = RADIUS, small: int = SMALL_CELL) -> D
         raise ValueError("a radius above 29 leaves fewer than three bands")
     masks = F.array(*[F.lit(m) for m in cell_masks(radius)])
     cells = (
-        prints.select("fp", _unary_counts(F.col("fp")).alias("counts"))
+        prints.select("fp", unary_counts(F.col("fp")).alias("counts"))
         .select("fp", "counts", F.posexplode(masks).alias("bands", "mask"))
         .select("bands", F.col("counts").bitwiseAND(F.col("mask")).alias("cell"), "fp", "counts")
     )
