@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +31,24 @@ PRECISION = 0.99
 PIECE = 1 << 20
 
 
-@lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+class Letters:
+    """Which code points are letters, looked up once each."""
 
+    def __init__(self):
+        self.known = np.full(0x110000, -1, np.int8)
 
-def subwords(text: str | None) -> Iterator[np.ndarray]:
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        new = np.unique(codes[self.known[codes] < 0])
+        self.known[new] = [chr(c).isalpha() for c in new.tolist()]
+        return self.known[codes] == 1
+
+
+def subwords(text: str | None, letters: Letters) -> Iterator[np.ndarray]:
     """Buckets of all subwords of the whole text, in portions of bounded size; nothing for a text without letters."""
     codes = np.frombuffer(f" {text or ''} ".lower().encode("utf-32-le"), "<u4")
     for at in range(0, len(codes) - 1, PIECE):
         piece = codes[at:at + PIECE + max(ORDERS) - 1]
-        letter = _letters()[piece]
+        letter = letters(piece)
         if not letter.any():
             continue
         # everything between words is the same mark, and no subword reaches across it
@@ -72,9 +78,9 @@ class Model:
     temperature: float
     accept: float  # scores below are rejected
 
-    def probabilities(self, text: str | None) -> np.ndarray | None:
+    def probabilities(self, text: str | None, letters: Letters) -> np.ndarray | None:
         total, n = np.zeros(len(self.languages)), 0
-        for found in subwords(text):
+        for found in subwords(text, letters):
             total += self.table[found].sum(axis=0, dtype=np.float64)
             n += len(found)
         return _softmax((total / n + self.bias) / self.temperature) if n and self.languages else None
@@ -152,8 +158,9 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     chosen = known.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= sample_rows).select("doc_id").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = Letters()
         for batch in batches:
-            rows = [b"".join(x.tobytes() for x in subwords(t.as_py())) for t in batch.column(1)]
+            rows = [b"".join(x.tobytes() for x in subwords(t.as_py(), letters)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["lang", "subwords"])
 
     sample = docs.where("lang IS NOT NULL").select(
@@ -171,10 +178,11 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     calibrated probability, and whether that reaches the rejection threshold.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = Letters()
         for batch in batches:
             names, scores = [], []
             for text in batch.column("text"):
-                p = model.probabilities(text.as_py())
+                p = model.probabilities(text.as_py(), letters)
                 names.append(UNKNOWN if p is None else model.languages[int(p.argmax())])
                 scores.append(0.0 if p is None else float(p.max()))
             accepted = [s >= model.accept and s > 0 for s in scores]
