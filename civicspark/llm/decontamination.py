@@ -27,11 +27,14 @@ BROADCAST_SHINGLES = 1_000_000
 
 
 def _runs(hashes: Column) -> Column:
-    """Hashes of all runs of five words, in order; of fewer words none."""
-    last = F.size(hashes) - SHINGLE
-    return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(SHINGLE)]))).otherwise(F.array().cast("array<bigint>"))
+    """Hashes of all runs of five words, in order; of fewer words none.
+
+    No lambda refers to ``hashes``, so that a filter pushed below the projection, which
+    repeats the expression, stays linear.
+    """
+    n = F.greatest(F.size(hashes) - SHINGLE + 1, F.lit(0))
+    shifted = F.arrays_zip(*[F.slice(hashes, F.lit(k + 1), n).alias(f"w{k}") for k in range(SHINGLE)])
+    return F.transform(shifted, lambda w: F.xxhash64(*[w[f"w{k}"] for k in range(SHINGLE)]))
 
 
 def _with_shingles(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -92,7 +95,7 @@ def _places(docs: DataFrame, items: DataFrame) -> DataFrame:
     if item_grams.count() <= BROADCAST_SHINGLES:
         item_grams = F.broadcast(item_grams)
     own = _with_shingles(docs, "text", "grams").select(
-        "doc_id", "doc", F.size("grams").alias("n"), F.posexplode("grams").alias("at", "gram"))
+        "doc_id", "doc", F.size("grams").alias("n"), F.posexplode_outer("grams").alias("at", "gram"))
     met = own.join(item_grams, "gram").groupBy("doc_id", "doc", "n", "item_id", "size").agg(
         F.sort_array(F.collect_set("at")).alias("at"))
     width = F.least("n", "size")
