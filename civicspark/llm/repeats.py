@@ -18,7 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .runs import Prefix, BASES, runs, spread
+from .common import keep
+from .runs import runs
 
 #: Symbols that a task hashes at a time, and runs that it combines at a time.
 PIECE, COMBINED = 1_500_000, 1_000_000
@@ -78,7 +79,7 @@ def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
         schema=pa.schema(_RUN_TYPES))
 
 
-def combine(rows: dict[str, np.ndarray], within: bool, mixed_open: bool = True) -> dict[str, np.ndarray]:
+def combine(rows: dict[str, np.ndarray], within: bool) -> dict[str, np.ndarray]:
     """What a task can decide of its own rows (key, span, doc, tag, start, windows); gives them a ``kind``."""
     order = np.lexsort((rows["start"], rows["tag"], rows["doc"], rows["span"], rows["key"]))
     rows = {k: v[order] for k, v in rows.items()}
@@ -93,7 +94,7 @@ def combine(rows: dict[str, np.ndarray], within: bool, mixed_open: bool = True)
         new_doc[1:] |= (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
         done |= rows["start"] > rows["start"][np.flatnonzero(new_doc)][np.cumsum(new_doc) - 1]
     group = np.cumsum(new_key) - 1
-    mixed = (np.bincount(group, weights=new_span) > 1)[group] & mixed_open
+    mixed = (np.bincount(group, weights=new_span) > 1)[group]
     kind = np.where(done, DECIDED, np.where(mixed, OPEN, PROBE))
     marks = np.flatnonzero(new_key & mixed)
     out = {k: np.concatenate([v, v[marks]]) for k, v in rows.items()}
@@ -105,26 +106,38 @@ def combine(rows: dict[str, np.ndarray], within: bool, mixed_open: bool = True)
     return out
 
 
+class Held:
+    """Runs of a task, handed out combined in portions of bounded size."""
+
+    def __init__(self, within: bool):
+        self.within, self.rows, self.size = within, [], 0
+
+    def add(self, found: dict[str, np.ndarray], doc, tag, text, offset) -> Iterator[pa.RecordBatch]:
+        at = found["doc"]
+        if len(at):
+            self.rows.append({"key": found["minimizer"], "span": found["span"], "doc": doc[text[at]], "tag": tag[text[at]],
+                              "start": found["start"] + offset[at], "windows": found["windows"]})
+            self.size += len(at)
+        if self.size >= COMBINED:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            yield _batch(combine({k: np.concatenate([r[k] for r in self.rows]) for k in self.rows[0]}, self.within))
+        self.rows, self.size = [], 0
+
+
 def find_runs(docs: DataFrame, symbols_of: Symbols, width: int, gram: int, within: bool) -> DataFrame:
     """Runs of all documents (doc, tag, text) after the combination inside each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
-        size = 0
+        held = Held(within)
         for batch in batches:
             doc, tag = (batch.column(c).to_numpy() for c in ("doc", "tag"))
             texts = (t.as_py() for t in batch.column("text"))
             for symbols, lengths, text, offset in pieces(texts, symbols_of, width):
-                found = runs(symbols, lengths, width, gram)
-                at = found["doc"]
-                held.append({"key": found["minimizer"], "span": found["span"], "doc": doc[text[at]], "tag": tag[text[at]],
-                             "start": found["start"] + offset[at], "windows": found["windows"]})
-                size += len(at)
-                if size >= COMBINED:
-                    yield _batch(combine({k: np.concatenate([h[k] for h in held]) for k in held[0]}, within))
-                    held, size = [], 0
-        if size:
-            yield _batch(combine({k: np.concatenate([h[k] for h in held]) for k in held[0]}, within))
+                yield from held.add(runs(symbols, lengths, width, gram), doc, tag, text, offset)
+        yield from held.flush()
 
     return docs.mapInArrow(run, RUNS)
 
@@ -163,52 +176,41 @@ def stretches(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[order], counts[order]
 
 
-def windows(docs: DataFrame, open_runs: DataFrame, symbols_of: Symbols, width: int, steps: int) -> DataFrame:
-    """Every window of the open runs: (doc, tag, start, names, check).
+def refine(docs: DataFrame, open_runs: DataFrame, symbols_of: Symbols, width: int, gram: int, within: bool) -> DataFrame:
+    """The windows of the open runs as runs of a longer gram, combined inside each task.
 
-    ``names`` are the hashes of the ``steps`` equal parts of the window, ``check`` an
-    independent hash of the whole. The texts are read once more, joined by document.
+    The texts are read once more, joined by document. With ``gram`` = ``width`` every
+    window is a run of its own, and none stays open.
     """
-    part = width // steps
-    if part * steps != width:
-        raise ValueError("the parts must cover the window")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Held(within)
         for batch in batches:
             doc, tag = (batch.column(c).to_numpy() for c in ("doc", "tag"))
-            wanted = [np.unique(spread(*stretches(batch, i))) for i in range(batch.num_rows)]
             texts = (t.as_py() for t in batch.column("text"))
             for symbols, lengths, text, offset in pieces(texts, symbols_of, width):
-                first, second = Prefix(symbols, BASES[0]), Prefix(symbols, BASES[1])
+                wanted = np.zeros(len(symbols) + 1, np.int32)
                 base = np.cumsum(lengths) - lengths
-                own = []
-                for t, o, n in zip(text, offset, lengths):
-                    lo, hi = np.searchsorted(wanted[t], (o, o + n - width + 1))
-                    own.append(wanted[t][lo:hi])
-                count = np.array([len(x) for x in own])
-                start = np.concatenate(own)
-                which = np.repeat(np.arange(len(own)), count)
-                at = start - offset[which] + base[which]
-                names = np.stack([first.of(at + k * part, at + (k + 1) * part) for k in range(steps)], axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[text[which]]), pa.array(tag[text[which]]), pa.array(start),
-                     pa.ListArray.from_arrays(
-                         pa.array(np.arange(len(start) + 1) * steps, pa.int32()), pa.array(names.astype(np.int64).ravel())),
-                     pa.array(second.of(at, at + width).astype(np.int64))],
-                    ["doc", "tag", "start", "names", "check"])
-
-    return with_stretches(docs, open_runs, "inner").mapInArrow(
-        run, "doc long, tag int, start long, names array<long>, check long")
-
-
-def combine_windows(rows: DataFrame, within: bool) -> DataFrame:
-    """Windows (doc, tag, start, name, check) as runs of one window, combined inside each task."""
+                for t, o, n, b in zip(text, offset, lengths, base):
+                    starts, counts = stretches(batch, t)
+                    np.add.at(wanted, b + np.clip(starts - o, 0, n), 1)
+                    np.add.at(wanted, b + np.clip(starts + counts - o, 0, n), -1)
+                found = runs(symbols, lengths, width, gram, np.cumsum(wanted)[:-1] > 0)
+                yield from held.add(found, doc, tag, text, offset)
+        yield from held.flush()
+
+    return with_stretches(docs, open_runs, "inner").mapInArrow(run, RUNS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                doc, tag, start, name, check = (batch.column(c).to_numpy() for c in ("doc", "tag", "start", "name", "check"))
-                yield _batch(combine({"key": name.copy(), "span": check, "doc": doc, "tag": tag, "start": start,
-                                      "windows": np.ones(len(doc), np.int32)}, within, mixed_open=False))
 
-    return rows.mapInArrow(run, RUNS)
+def repeated_windows(docs: DataFrame, symbols_of: Symbols, width: int, grams: tuple[int, ...], within: bool) -> DataFrame:
+    """Windows that occur before, as rows (doc, tag, start, windows) of runs.
+
+    ``grams`` grow up to ``width``. At each length runs that are alone with their gram
+    leave, whole repeats are decided, and what is open goes on to the next length.
+    """
+    found = keep(decide(find_runs(docs, symbols_of, width, grams[0], within), within), f"runs-{grams[0]}")
+    out = found.where(F.col("kind") == DECIDED)
+    for gram in grams[1:]:
+        found = keep(decide(refine(docs, found.where(F.col("kind") == OPEN), symbols_of, width, gram, within), within), f"runs-{gram}")
+        out = out.union(found.where(F.col("kind") == DECIDED))
+    return out.drop("kind")

@@ -73,9 +73,12 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
 
 
-def runs(symbols: np.ndarray, lengths: np.ndarray, width: int, gram: int) -> dict[str, np.ndarray]:
+def runs(
+    symbols: np.ndarray, lengths: np.ndarray, width: int, gram: int, wanted: np.ndarray | None = None,
+) -> dict[str, np.ndarray]:
     """Runs of the windows of documents laid end to end in ``symbols`` (uint64).
 
+    With ``wanted`` only the windows at its true positions count; a run ends where they end.
     Columns: doc (index into ``lengths``), start (of the run's first window within
     its document), windows, minimizer, span (hash of the symbols of all windows).
     """
@@ -91,6 +94,8 @@ def runs(symbols: np.ndarray, lengths: np.ndarray, width: int, gram: int) -> dic
     best = _sliding_min(ranked, width - gram + 1) & low
     doc = np.repeat(np.arange(len(lengths)), lengths)[:len(best)]
     inside = np.arange(len(best)) + width <= ends[doc]
+    if wanted is not None:
+        inside &= wanted[:len(best)]
     fresh = np.ones(len(best), bool)
     fresh[1:] = (best[1:] != best[:-1]) | (doc[1:] != doc[:-1]) | (inside[1:] != inside[:-1])
     first = np.flatnonzero(fresh)
@@ -106,13 +111,6 @@ def runs(symbols: np.ndarray, lengths: np.ndarray, width: int, gram: int) -> dic
     }
 
 
-def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... for every (start, count), one after the other."""
-    total = int(counts.sum())
-    before = np.cumsum(counts) - counts
-    return np.repeat(starts - before, counts) + np.arange(total)
-
-
 def union_lengths(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal disjoint stretches of intervals sorted by start; touching ones are joined."""
     if not len(starts):

@@ -21,8 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from . import repeats
-from .common import keep
+from .repeats import identified, repeated_windows, stretches, with_stretches
 from .runs import union_lengths
 
 WORDS, GRAM = 13, 4
@@ -33,24 +32,22 @@ def word_symbols(text: str) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
 
 
-def compacted(edges: DataFrame) -> DataFrame:
-    """Edges (doc, tag, start) joined to paths (doc, tag, start, windows) of consecutive ones."""
+def compacted(paths: DataFrame) -> DataFrame:
+    """Paths (doc, tag, start, windows) of which no two of a document touch: a path and its successor become one."""
     along = Window.partitionBy("doc", "tag").orderBy("start")
+    end = F.col("start") + F.col("windows")
+    reach = F.max(end).over(along.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        edges.withColumn("path", F.col("start") - F.row_number().over(along))
-        .groupBy("doc", "tag", "path").agg(F.min("start").alias("start"), F.count(F.lit(1)).cast("int").alias("windows"))
-        .drop("path")
+        paths.withColumn("opens", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int"))
+        .withColumn("path", F.sum("opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc", "tag", "path").agg(F.min("start").alias("start"), (F.max(end) - F.min("start")).cast("int").alias("windows"))
+        .select("doc", "tag", "start", "windows")
     )
 
 
 def repeated(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Paths (doc, tag, start, windows) whose edges also start in a document with a smaller id."""
-    gram = min(GRAM, words)
-    found = keep(repeats.decide(repeats.find_runs(docs, word_symbols, words, gram, False), False), "paths")
-    edges = repeats.windows(docs, found.where(F.col("kind") == repeats.OPEN), word_symbols, words, 1)
-    named = edges.select("doc", "tag", "start", F.get("names", F.lit(0)).alias("name"), "check")
-    single = keep(repeats.decide(repeats.combine_windows(named, False), False), "edges")
-    return found.where(F.col("kind") == repeats.DECIDED).drop("kind").union(compacted(single).select("doc", "tag", "start", "windows"))
+    return compacted(repeated_windows(docs, word_symbols, words, (min(GRAM, words), words), False))
 
 
 def _cut(words: int):
@@ -59,7 +56,7 @@ def _cut(words: int):
             total, removed, kept = [], [], []
             for i, text in enumerate(batch.column("text")):
                 found = text.as_py().encode().split()
-                starts, counts = repeats.stretches(batch, i)
+                starts, counts = stretches(batch, i)
                 starts, ends = union_lengths(starts, starts + counts + words - 1)
                 total.append(len(found))
                 removed.append(int((ends - starts).sum()))
@@ -83,8 +80,8 @@ def deduplicate(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", tex
     than a window lose none. A null id is the smallest; rows that repeat an id do not
     remove words of each other.
     """
-    carried = repeats.identified(docs, id_col, text_col, carry=True)
-    joined = repeats.with_stretches(carried, repeated(repeats.identified(docs, id_col, text_col), words), "left")
+    carried = identified(docs, id_col, text_col, carry=True)
+    joined = with_stretches(carried, repeated(identified(docs, id_col, text_col), words), "left")
     row = carried.schema["row"].dataType.simpleString()
     return joined.select("row", "text", "starts", "counts").mapInArrow(
         _cut(words), f"row {row}, n_words long, n_removed long, kept string")

@@ -1,17 +1,20 @@
 """Removal of long repeated byte strings by prefix doubling (operator 4).
 
 The question is which suffixes share their first ``LENGTH`` bytes with an earlier
-one. Prefix doubling answers it by ranking suffixes by their first 25, 50 and 100
-bytes: the rank of a longer prefix is the rank of the pair (rank here, rank at the
-offset). Ranks are names, hashes of the pairs, as only equality counts; Spark
-brings equal pairs together, and suffixes that have become unique leave.
-
-Ranking every byte of the corpus would shuffle some 15 times its size, so the
-suffixes that can share 100 bytes are found first: neighbouring ones with the same
-minimizer form a run, and a run that equals an earlier one as a whole is decided
-without looking inside (``runs``, ``repeats``). Doubling works on what is left:
-runs that share a minimizer with another one but not their whole span, at the ends
-of repeated passages. The result is that of ranking every byte.
+one. Prefix doubling ranks suffixes by prefixes of growing length: the rank of a
+prefix of 2h bytes is that of the pair (rank of h bytes here, rank of h bytes at the
+offset h). Ranks are names, hashes of such pairs, as only equality counts. Spark brings
+equal ranks together, suffixes that have become unique leave, and the rest goes on
+to the next length until it passes the threshold.
+
+Ranking each byte of the corpus at each length would shuffle many times its size. So
+a length h ranks sampled positions only: of every 100 bytes the smallest name of h
+bytes (the minimizer). Suffixes with 100 equal bytes have the same one at the same
+distance, so what is unique at the sampled position is unique at all. Neighbouring
+suffixes with one sampled position are a run, and a run that equals an earlier one as
+a whole is decided without looking inside (``runs``, ``repeats``). What is open at 24
+bytes, at the ends of repeated passages, goes on to 48, 96 and 100, where every
+position is its own sample. The result is that of ranking every byte.
 """
 
 from __future__ import annotations
@@ -20,15 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from . import repeats
-from .common import keep
+from .repeats import identified, repeated_windows, stretches, with_stretches
 from .runs import mix, union_lengths
 
 LENGTH = 100
-#: Bytes of a minimizer's gram, and of the prefix that doubling starts from.
-GRAM, START = 24, 25
+#: Lengths that are ranked, up to the threshold.
+GRAMS = (24, 48, 96, 100)
 
 BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64))
 
@@ -37,32 +39,10 @@ def byte_symbols(text: str) -> np.ndarray:
     return BYTE_CODES[np.frombuffer(text.encode(), np.uint8)]
 
 
-def doubled(ranked: DataFrame, steps: int) -> DataFrame:
-    """Rank (doc, tag, start, names, check) by doubling until one name covers the whole length.
-
-    ``names`` holds the ranks at the offsets 0, h, 2h, ...; each round ranks the pairs
-    and drops positions whose own prefix has become unique.
-    """
-    while steps > 1:
-        pairs = [F.xxhash64(F.get("names", 2 * i), F.get("names", 2 * i + 1)) for i in range(steps // 2)]
-        ranked, steps = ranked.withColumn("names", F.array(*pairs)), steps // 2
-        if steps > 1:
-            ranked = keep(ranked, "ranked").withColumn("name", F.get("names", F.lit(0)))
-            again = ranked.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-            ranked = ranked.join(again, "name", "left_semi").drop("name")
-    return ranked.select("doc", "tag", "start", F.get("names", F.lit(0)).alias("name"), "check")
-
-
 def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Windows of ``length`` bytes that start earlier as well, as rows (doc, tag, start, windows) of runs."""
-    found = keep(repeats.decide(repeats.find_runs(docs, byte_symbols, length, GRAM, True), True), "runs")
-    steps = length // START
-    if steps * START != length or steps & (steps - 1):
-        raise ValueError("the length must be 25 times a power of two")
-    open_windows = repeats.windows(docs, found.where(F.col("kind") == repeats.OPEN), byte_symbols, length, steps)
-    ranked = repeats.combine_windows(doubled(open_windows, steps), True)
-    single = keep(repeats.decide(ranked, True), "windows")
-    return found.where(F.col("kind") == repeats.DECIDED).drop("kind").union(single.drop("kind"))
+    """Suffixes whose first ``length`` bytes start earlier as well, as rows (doc, tag, start, windows) of runs."""
+    grams = tuple(g for g in GRAMS if g < length)
+    return repeated_windows(docs, byte_symbols, length, (*grams, length), True)
 
 
 def _cut(length: int, as_text: bool):
@@ -71,7 +51,7 @@ def _cut(length: int, as_text: bool):
             sizes, removed, spans, kept = [], [], [], []
             for i, text in enumerate(batch.column("text")):
                 data = text.as_py().encode()
-                starts, counts = repeats.stretches(batch, i)
+                starts, counts = stretches(batch, i)
                 starts, ends = union_lengths(starts, starts + counts + length - 1)
                 edges = np.concatenate([[0], np.stack([starts, ends], axis=1).ravel(), [len(data)]]).astype(int).tolist()
                 sizes.append(len(data))
@@ -100,8 +80,8 @@ def deduplicate(
     Null and empty texts have no bytes. A null id comes first. Rows that repeat an id
     with the same text have the same result, with different texts neither is earlier.
     """
-    carried = repeats.identified(docs, id_col, text_col, carry=True)
-    joined = repeats.with_stretches(carried, repeated(repeats.identified(docs, id_col, text_col), length), "left")
+    carried = identified(docs, id_col, text_col, carry=True)
+    joined = with_stretches(carried, repeated(identified(docs, id_col, text_col), length), "left")
     row = carried.schema["row"].dataType.simpleString()
     return joined.select("row", "text", "starts", "counts").mapInArrow(
         _cut(length, as_text), f"row {row}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
