@@ -57,8 +57,7 @@ def subwords(text: str | None, letters: Letters) -> Iterator[np.ndarray]:
         for order in range(2, max(ORDERS) + 1):
             h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + base[order - 1:]
             n = len(h)
-            ends = letter[:n] | letter[order - 1:]
-            inner = ends if order == 2 else ends & _all_between(letter, order, n)
+            inner = letter[:n] | letter[1:] if order == 2 else _all_between(letter, order, n)
             if order in ORDERS:
                 yield ((((h ^ np.uint64(order)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - BITS))[inner]).astype(np.int32)
 

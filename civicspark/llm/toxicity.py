@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 #: Lengths of n-grams, bits of a bucket number, rows of each class that the model is fitted on.
-ORDERS, BITS, SAMPLE_ROWS = (3, 4, 5), 20, 1200
-ROUNDS, PENALTY, SMOOTHING = 60, 1e-3, 1.0
+ORDERS, BITS, SAMPLE_ROWS = (4, 6, 8), 20, 1200
+ROUNDS, PENALTY, SMOOTHING = 100, 1e-3, 1.0
 THRESHOLD = 0.7
 #: Characters that are hashed at a time; longer texts are read in overlapping pieces.
 PIECE = 1 << 20
@@ -72,12 +72,13 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
     ratio = (np.log((with_toxic + SMOOTHING) / (toxic.sum() + 2 * SMOOTHING))
              - np.log((with_other + SMOOTHING) / ((1 - toxic).sum() + 2 * SMOOTHING)))
     scaled = ratio.astype(np.float32)[ids]
+    weight = np.where(toxic > 0, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / len(rows)  # both classes count alike
     # steps are as long as the largest row allows
     step = 4.0 / max(1.0, np.percentile(np.bincount(of, weights=scaled * scaled, minlength=len(rows)), 95))
     w, bias, ahead_w, ahead_bias = np.zeros(size), 0.0, np.zeros(size), 0.0
     for k in range(ROUNDS):
         margin = np.bincount(of, weights=scaled * ahead_w[ids], minlength=len(rows)) + ahead_bias
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) / len(rows)
+        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) * weight
         gradient = np.bincount(ids, weights=scaled * error[of], minlength=size) + PENALTY * ahead_w / len(rows)
         new_w, new_bias = ahead_w - step * len(rows) ** 0.5 * gradient, ahead_bias - step * len(rows) ** 0.5 * error.sum()
         pull = k / (k + 3)
