@@ -132,7 +132,8 @@ def leaks(
     places = keep(_places(own, items), "places")
     lists = places.groupBy("doc_id", "doc").agg(F.collect_list(F.struct("size", "width", "start")).alias("windows"))
     same = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("doc") == F.col("_doc")]
-    texts = own.join(lists.withColumnsRenamed({"doc_id": "_id", "doc": "_doc"}), same).select("doc_id", "doc", "text", "windows")
+    # the same join at every size: a broadcast of few windows would turn into a shuffle of all texts at some point
+    texts = own.join(lists.withColumnsRenamed({"doc_id": "_id", "doc": "_doc"}).hint("merge"), same).select("doc_id", "doc", "text", "windows")
     found = keep(
         _with_shingles(texts, "text", "all").select("doc_id", "doc", "all", F.explode("windows").alias("w"))
         .select("doc_id", "doc", "w.size", "w.start", F.slice("all", F.col("w.start") + 1, F.col("w.width")).alias("grams"))
