@@ -268,14 +268,28 @@ def top_deputados_autoria_legacy(t: Tables) -> DataFrame:
     )
 
 
+def _two_distinct(rows: DataFrame, keys: list[str], first: str, second: str, names: tuple[str, str], total: str | None = None) -> DataFrame:
+    """Distinct values of two columns per key, and the sum of ``total``.
+
+    Two distinct counts in one aggregate would expand every row into two. Here the
+    rows collapse once to distinct (key, first, second); each count is then a plain
+    one over a further distinct, and the few counted rows meet in a join."""
+    sums = [F.sum(total).alias(total)] if total else []
+    pairs = rows.groupBy(*keys, first, second).agg(*(sums or [_rows().alias("_n")]))
+    one = pairs.groupBy(*keys, first).agg(*(sums or [F.sum("_n").alias("_n")])).groupBy(*keys).agg(
+        F.count(first).alias(names[0]), *sums)
+    two = pairs.groupBy(*keys, second).agg(F.count(F.lit(1)).alias("_n")).groupBy(
+        *[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(second).alias(names[1]))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return one.join(two, same).drop(*[f"_{k}" for k in keys])
+
+
 def heatmap_tema_partido(t: Tables) -> DataFrame:
     facts = t["fato_proposicoes"].select("proposicao_id", "tema_id")
     rows = _authors_with_party(t).join(facts, "proposicao_id")
     # counted per theme id first: the theme names join a handful of rows
-    counts = rows.groupBy("sigla_partido", "tema_id").agg(
-        F.count_distinct("proposicao_id").alias("qtd_proposicoes"),
-        F.count_distinct("deputado_id").alias("qtd_deputados_autores"),
-    )
+    counts = _two_distinct(rows, ["sigla_partido", "tema_id"], "proposicao_id", "deputado_id",
+                           ("qtd_proposicoes", "qtd_deputados_autores"))
     return counts.join(_theme_columns(t), "tema_id", "left").select(
         "sigla_partido",
         F.coalesce("tema", F.lit(NO_THEME)).alias("tema"),
@@ -311,11 +325,9 @@ def proposicoes_por_deputado(t: Tables) -> DataFrame:
 def proposicoes_por_partido(t: Tables) -> DataFrame:
     known = t["fato_proposicoes"].select("proposicao_id")
     rows = _authors_with_party(t, "proponente").join(known, "proposicao_id")
-    return rows.groupBy("partido_id", "sigla_partido").agg(
-        F.count_distinct("proposicao_id").alias("qtd_proposicoes"),
-        F.count_distinct("deputado_id").alias("qtd_deputados_autores"),
-        F.count_if("proponente").alias("qtd_proponente"),
-    )
+    signed = rows.withColumn("qtd_proponente", F.coalesce(F.col("proponente").cast("long"), F.lit(0)))
+    return _two_distinct(signed, ["partido_id", "sigla_partido"], "proposicao_id", "deputado_id",
+                         ("qtd_proposicoes", "qtd_deputados_autores"), "qtd_proponente")
 
 
 # --- expenses -----------------------------------------------------------------
@@ -402,11 +414,10 @@ def votos_partido_tema(t: Tables) -> DataFrame:
     votes = t["fato_votacao_votos"].select("votacao_id", "deputado_id", "tipo_voto", "sigla_partido_voto")
     rows = votes.join(votings, "votacao_id").join(deputies, "deputado_id", "left")
     party = F.coalesce("sigla_partido_voto", "sigla_dep", F.lit(NO_PARTY))
-    return rows.groupBy(party.alias("sigla_partido"), "tema", "tipo_voto").agg(
-        _rows().alias("qtd_votos"),
-        F.count_distinct("deputado_id").alias("qtd_deputados"),
-        F.count_distinct("votacao_id").alias("qtd_votacoes"),
-    )
+    labelled = rows.select(party.alias("sigla_partido"), "tema", "tipo_voto", "deputado_id", "votacao_id", F.lit(1).cast("long").alias("qtd_votos"))
+    return _two_distinct(labelled, ["sigla_partido", "tema", "tipo_voto"], "votacao_id", "deputado_id",
+                         ("qtd_votacoes", "qtd_deputados"), "qtd_votos").select(
+        "sigla_partido", "tema", "tipo_voto", "qtd_votos", "qtd_deputados", "qtd_votacoes")
 
 
 def votos_por_partido(t: Tables) -> DataFrame:
