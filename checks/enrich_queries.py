@@ -53,9 +53,8 @@ query("b6_pending_embedding", """
 query("b7_pending_classification", "SELECT proposicao_id FROM fato_proposicoes WHERE embedding IS NOT NULL AND tema_id IS NULL")(
     lambda spark, sf: enrich.pending_classification(table(spark, sf, "fato_proposicoes")).select("proposicao_id"))
 query("b8_pending_summary", """
-    SELECT proposicao_id, data_apresentacao FROM fato_proposicoes WHERE resumo_executivo IS NULL AND ementa <> ''
-    ORDER BY data_apresentacao DESC NULLS LAST, proposicao_id LIMIT 200""")(
-    lambda spark, sf: enrich.pending_summary(table(spark, sf, "fato_proposicoes"), limit=200).select("proposicao_id", "data_apresentacao"))
+    SELECT proposicao_id, data_apresentacao FROM fato_proposicoes WHERE resumo_executivo IS NULL AND ementa <> ''""")(
+    lambda spark, sf: enrich.pending_summary(table(spark, sf, "fato_proposicoes")).select("proposicao_id", "data_apresentacao"))
 
 query("b9_classify", f"{_SCORED} SELECT vec_id, CASE WHEN score >= 0.30 THEN melhor END AS tema_id, melhor AS melhor_tema, round(score, 6) AS score FROM b")(
     lambda spark, sf: enrich.classify(load(spark, sf, "embeddings"), _themes(spark, sf)).select(

@@ -149,7 +149,7 @@ def _s1(spark, sf):
     newer = load(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS id", "c_name AS nome")
     env.land(newer, raw_dir, "partidos", "2026-01-02T00-00-00Z")
     env.land(parties, raw_dir, "partidos", "2026-01-03T00-00-00Z_7")  # a detail, not a listing
-    return datasets.read_dataset(spark, raw_dir, "partidos", latest=True, multi_line=False).select("nome", "id")
+    return datasets.read_dataset(spark, raw_dir, "partidos", latest=True).select("nome", "id")
 
 
 @query("s2_all_snapshots", """
@@ -157,7 +157,7 @@ def _s1(spark, sf):
     CROSS JOIN (SELECT '2026-01-01T00-00-00Z.json' AS _snapshot UNION ALL SELECT '2026-01-02T00-00-00Z.json') s""")
 def _s2(spark, sf):
     raw_dir = _landed(spark, _proposition_records(spark, sf), "proposicoes", ["2026-01-01T00-00-00Z", "2026-01-02T00-00-00Z"])
-    rows = datasets.read_dataset(spark, raw_dir, "proposicoes", multi_line=False)
+    rows = datasets.read_dataset(spark, raw_dir, "proposicoes")
     return rows.groupBy("_snapshot").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
 
 
@@ -166,7 +166,7 @@ def _s2(spark, sf):
 def _s3(spark, sf):
     rows = load(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS id", "c_name AS nome")
     raw_dir = _landed(spark, rows, "deputados", ["2026-01-01T00-00-00Z", "2026-01-01T00-00-00Z_12"])
-    docs = env.read_envelopes(spark, raw_dir, "deputados", "ARRAY<STRUCT<id: STRING, nome: STRING>>", multi_line=False)
+    docs = env.read_envelopes(spark, raw_dir, "deputados", "ARRAY<STRUCT<id: STRING, nome: STRING>>")
     kind = F.when(env.is_listing(F.col("_snapshot")), "listing").otherwise("detail")
     return docs.groupBy(kind.alias("kind")).agg(F.sum(F.size("dados")).alias("n"))
 
@@ -177,7 +177,7 @@ def _s12(spark, sf):
     rows = load(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS id", "c_name AS nome")
     raw_dir = scratch_path(spark, "raw")
     env.land(rows, raw_dir, "partidos", "2026-01-01T00-00-00Z", page_size=15)
-    return datasets.read_dataset(spark, raw_dir, "partidos", multi_line=False).select("id", "nome")
+    return datasets.read_dataset(spark, raw_dir, "partidos").select("id", "nome")
 
 
 def _expense_dir(spark, sf):
@@ -195,7 +195,7 @@ def _expense_dir(spark, sf):
 @query("s4_sub_resource", """
     SELECT CAST(deputado_id AS INT) AS deputado_id, codDocumento, parcela, nomeFornecedor FROM raw_despesas""")
 def _s4(spark, sf):
-    return datasets.read_dataset(spark, _expense_dir(spark, sf), "deputados_despesas", multi_line=False).select(
+    return datasets.read_dataset(spark, _expense_dir(spark, sf), "deputados_despesas").select(
         "deputado_id", "codDocumento", "parcela", "nomeFornecedor")
 
 
@@ -208,7 +208,7 @@ query("s5_flatten_json", "SELECT event_id, event_type, CAST(json_extract(props,
 def _s6(spark, sf):
     rows = load(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS id", "'Texto de ' || c_name AS ementa")
     raw_dir = _landed(spark, rows, "proposicoes", ["2026-01-01T00-00-00Z"])
-    read = datasets.read_dataset(spark, raw_dir, "proposicoes", multi_line=False)
+    read = datasets.read_dataset(spark, raw_dir, "proposicoes")
     return transforms.proposicoes(read).drop("autor_id", "tema_id")
 
 
@@ -228,7 +228,7 @@ def _s9(spark, sf):
     both = F.when(F.col("c_custkey") % 2 == 0, F.to_json(F.struct(meta, record.alias("dados")))).otherwise(
         F.to_json(F.struct(meta, F.array(record).alias("dados"))))
     rows.select(both.alias("value")).write.text(f"{raw_dir}/deputados/2026-01-01T00-00-00Z_1.json")
-    return datasets.read_dataset(spark, raw_dir, "deputados_detalhe", multi_line=False).select(
+    return datasets.read_dataset(spark, raw_dir, "deputados_detalhe").select(
         "id", "nomeCivil", F.col("ultimoStatus.nomeEleitoral").alias("eleitoral"), F.col("ultimoStatus.gabinete.sala").alias("sala"))
 
 
@@ -238,7 +238,7 @@ def _s9(spark, sf):
 def _s10(spark, sf):
     raw_dir = _landed(spark, _proposition_records(spark, sf), "proposicoes", ["2026-01-01T00-00-00Z"])
     return datasets.read_dataset(
-        spark, raw_dir, "proposicoes", multi_line=False, tipo=" A", apresentacao_inicio="1997-01-01", apresentacao_fim="1998-12-31",
+        spark, raw_dir, "proposicoes", tipo=" A", apresentacao_inicio="1997-01-01", apresentacao_fim="1998-12-31",
     ).select("id", "siglaTipo", "dataApresentacao")
 
 
@@ -246,7 +246,7 @@ def _s10(spark, sf):
 def _s11(spark, sf):
     rows = load(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS id", "c_name AS nome")
     raw_dir = _landed(spark, rows, "partidos", ["2026-01-01T00-00-00Z"])
-    docs = env.read_envelopes(spark, raw_dir, "partidos", "ARRAY<STRUCT<id: STRING, nome: STRING>>", multi_line=False)
+    docs = env.read_envelopes(spark, raw_dir, "partidos", "ARRAY<STRUCT<id: STRING, nome: STRING>>")
     return env.lineage(docs).groupBy("endpoint").agg(
         F.sum("found").alias("registros"), F.bool_and("consistent").alias("consistente"))
 
@@ -297,7 +297,7 @@ def _landed_core(spark, sf):
     for entity in ("partidos", "deputados", "proposicoes", "votacoes"):
         env.land(table(spark, sf, f"raw_{entity}").drop(*env.ORIGIN), raw_dir, entity, "2026-01-01T00-00-00Z")
     st = store.StarStore(spark, scratch_path(spark, "star"))
-    load_jobs.load_core(st, raw_dir, F.current_timestamp(), multi_line=False)
+    load_jobs.load_core(st, raw_dir, F.current_timestamp())
     return st
 
 
@@ -472,10 +472,10 @@ query("u14_set_values", """
 # --- bridge jobs ------------------------------------------------------------------
 
 query("b1_pending_authorship", """
-    SELECT proposicao_id FROM fato_proposicoes WHERE NOT autores_carregados ORDER BY proposicao_id DESC LIMIT 500""")(
+    SELECT proposicao_id FROM fato_proposicoes WHERE NOT autores_carregados""")(
     lambda spark, sf: bridges.pending_authorship(table(spark, sf, "fato_proposicoes")))
 query("b2_pending_votes", """
-    SELECT votacao_id FROM fato_votacoes WHERE NOT votos_carregados ORDER BY data DESC NULLS FIRST, votacao_id LIMIT 100""")(
+    SELECT votacao_id FROM fato_votacoes WHERE NOT votos_carregados""")(
     lambda spark, sf: bridges.pending_votes(table(spark, sf, "fato_votacoes")))
 
 
@@ -627,7 +627,7 @@ query("st1_stream_records", "SELECT count(*) AS n, count(DISTINCT id) AS ids FRO
 def _stream_landing(spark, sf):
     raw_dir = _landed(spark, _proposition_records(spark, sf), "proposicoes", ["2026-01-01T00-00-00Z"])
     out = scratch_path(spark, "stream-out")
-    stream = landing.stream_records(spark, raw_dir, "proposicoes", max_files=2, multi_line=False).select("id", "ementa")
+    stream = landing.stream_records(spark, raw_dir, "proposicoes", max_files=2).select("id", "ementa")
     landing.run_batches(stream, lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/b={n}"), scratch_path(spark, "checkpoint"))
     read = spark.read.schema("id STRING, ementa STRING").option("recursiveFileLookup", "true").parquet(out)
     return read.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
@@ -646,7 +646,7 @@ def _st2(spark, sf):
         CAST(CAST(o_orderdate AS DATE) AS STRING) AS dataApresentacao FROM {orders}""")
     raw_dir = _landed(spark, rows, "proposicoes", ["2026-01-01T00-00-00Z"])
     for _ in range(2):
-        landing.load_increment(st, raw_dir, scratch_path(spark, "checkpoint"), F.current_timestamp(), multi_line=False)
+        landing.load_increment(st, raw_dir, scratch_path(spark, "checkpoint"), F.current_timestamp())
     return st.read("fato_proposicoes").select("proposicao_id", "tipo", "ementa", "tema_id")
 
 

@@ -18,7 +18,7 @@ from . import transforms
 from .dedup import keep_first
 from .upsert import error_rows
 
-# Log texts and default batch limits.
+# Log texts, and the batch limits of a daily run for callers that want one.
 NO_AUTHORS = "API nao retornou autores para a proposicao"
 ORPHAN_DEPUTY = "Deputado autor sem correspondencia em dim_deputados (prop {})"
 UNREADABLE = "Documento bruto ilegivel"
@@ -27,7 +27,7 @@ AUTHORS_LIMIT = 500
 VOTES_LIMIT = 100
 
 
-def pending_authorship(proposicoes: DataFrame, limit: int | None = AUTHORS_LIMIT, proposicao_id: int | None = None) -> DataFrame:
+def pending_authorship(proposicoes: DataFrame, limit: int | None = None, proposicao_id: int | None = None) -> DataFrame:
     """Propositions still to be read, newest id first; one id reprocesses it."""
     if proposicao_id is not None:
         return proposicoes.sparkSession.range(1).select(F.lit(proposicao_id).cast("int").alias("proposicao_id"))
@@ -35,7 +35,7 @@ def pending_authorship(proposicoes: DataFrame, limit: int | None = AUTHORS_LIMIT
     return pending if limit is None else pending.orderBy(F.desc("proposicao_id")).limit(limit)
 
 
-def pending_votes(votacoes: DataFrame, limit: int | None = VOTES_LIMIT, votacao_id: str | None = None) -> DataFrame:
+def pending_votes(votacoes: DataFrame, limit: int | None = None, votacao_id: str | None = None) -> DataFrame:
     """Votes without roll call, most recent first (id breaks ties)."""
     if votacao_id is not None:
         return votacoes.sparkSession.range(1).select(F.lit(votacao_id).alias("votacao_id"))
@@ -45,7 +45,7 @@ def pending_votes(votacoes: DataFrame, limit: int | None = VOTES_LIMIT, votacao_
     return pending.select("votacao_id")
 
 
-def fetched_items(spark: SparkSession, raw_dir: str, dataset: str, *, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+def fetched_items(spark: SparkSession, raw_dir: str, dataset: str, *, multi_line: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """(fetched, records) of a per-item dataset. ``fetched`` has one row per
     item: its newest snapshot and whether that document was unreadable (the
     item id then comes from the file name)."""
@@ -173,7 +173,7 @@ def roll_call(
     return {"links": links, "votos": votes, "flags": flags, "errors": errors, "counters": counters}
 
 
-def newest_details(spark: SparkSession, raw_dir: str, *, multi_line: bool = True) -> DataFrame:
+def newest_details(spark: SparkSession, raw_dir: str, *, multi_line: bool | None = None) -> DataFrame:
     """Newest detail document per vote."""
     ds = DATASETS["votacoes_detalhe"]
     docs = env.details(spark, raw_dir, ds.entity, ds.record, multi_line=multi_line)

@@ -96,18 +96,22 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
 
 def _scorer(ids: np.ndarray, matrix: np.ndarray):
     """Pandas UDF: best theme and cosine of each vector. Ids are ascending, so
-    the first maximum is the lowest id."""
+    the first maximum is the lowest id. A null vector, or one of another
+    length than the themes', has no theme and the score 0."""
     units = _unit_rows(matrix)
 
     @F.pandas_udf("tema_id INT, score DOUBLE")
     def best(vectors: pd.Series) -> pd.DataFrame:
-        if not len(vectors):
-            return pd.DataFrame({"tema_id": [], "score": []})
-        scores = _unit_rows(np.stack(vectors.to_numpy()).astype(np.float64)) @ units.T
-        # equal directions must tie exactly
-        scores = np.round(scores, 12)
-        winner = scores.argmax(axis=1)
-        return pd.DataFrame({"tema_id": ids[winner], "score": scores[np.arange(len(scores)), winner]})
+        fit = vectors.map(lambda v: v is not None and len(v) == units.shape[1]).to_numpy(dtype=bool)
+        out = pd.DataFrame({"tema_id": pd.array([None] * len(vectors), dtype="Int32"), "score": 0.0})
+        if fit.any():
+            scores = _unit_rows(np.stack(vectors.to_numpy()[fit]).astype(np.float64)) @ units.T
+            # equal directions must tie exactly
+            scores = np.round(scores, 12)
+            winner = scores.argmax(axis=1)
+            out.loc[fit, "tema_id"] = ids[winner]
+            out.loc[fit, "score"] = scores[np.arange(len(scores)), winner]
+        return out
 
     return best
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import uri
@@ -53,7 +55,7 @@ def append_errors(store: StarStore, errors: DataFrame) -> None:
     store.write("pipeline_erros", errors)
 
 
-def read_core(spark: SparkSession, raw_dir: str, *, multi_line: bool = True) -> dict[str, DataFrame]:
+def read_core(spark: SparkSession, raw_dir: str, *, multi_line: bool | None = None) -> dict[str, DataFrame]:
     """Core batches out of the raw folder: newest listing for parties and
     deputies, all listings for propositions and votes."""
     opts = {"multi_line": multi_line}
@@ -66,7 +68,7 @@ def read_core(spark: SparkSession, raw_dir: str, *, multi_line: bool = True) ->
     }
 
 
-def read_expenses(spark: SparkSession, raw_dir: str, *, multi_line: bool = True) -> DataFrame:
+def read_expenses(spark: SparkSession, raw_dir: str, *, multi_line: bool | None = None) -> DataFrame:
     rows = env.sub_resource_records(
         spark, raw_dir, "deputados_despesas", DATASETS["deputados_despesas"].record,
         uri.owner_id(F.col("_endpoint")), "deputado_id", multi_line=multi_line,
@@ -74,11 +76,26 @@ def read_expenses(spark: SparkSession, raw_dir: str, *, multi_line: bool = True)
     return transforms.despesas(rows)
 
 
+def unreadable_listings(spark: SparkSession, raw_dir: str, now: Column, *, multi_line: bool | None = None) -> DataFrame:
+    """Error rows of the malformed documents among the core listings."""
+    parts = []
+    for name in ("partidos", "deputados", "proposicoes", "votacoes"):
+        ds = DATASETS[name]
+        docs = env.read_envelopes(spark, raw_dir, ds.entity, f"ARRAY<STRUCT<{ds.record}>>", multi_line=multi_line)
+        broken = env.unreadable(docs.where(env.is_listing(F.col("_snapshot"))))
+        origin = F.concat_ws("/", F.lit(ds.entity), "_snapshot", "_part")
+        parts.append(ups.error_rows(broken, "transform", "documento", origin, F.lit(bridges.UNREADABLE), now))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def load_core(
-    store: StarStore, raw_dir: str, now: Column, *, with_expenses: bool = False, multi_line: bool = True
+    store: StarStore, raw_dir: str, now: Column, *, with_expenses: bool = False, multi_line: bool | None = None
 ) -> dict[str, int]:
     """Ordered load of the core tables; expenses only when asked for."""
     spark = store.spark
+    errors = stage(unreadable_listings(spark, raw_dir, now, multi_line=multi_line), "unreadable")
+    if not errors.isEmpty():
+        append_errors(store, errors)
     batches = read_core(spark, raw_dir, multi_line=multi_line)
     counts = {}
     for table in CORE_ORDER:
@@ -100,8 +117,8 @@ def _first_row(df: DataFrame) -> dict[str, int]:
 
 
 def load_authorship(
-    store: StarStore, raw_dir: str, now: Column, *, limit: int | None = bridges.AUTHORS_LIMIT,
-    proposicao_id: int | None = None, multi_line: bool = True,
+    store: StarStore, raw_dir: str, now: Column, *, limit: int | None = None,
+    proposicao_id: int | None = None, multi_line: bool | None = None,
 ) -> dict[str, int]:
     """Authorship job over the landed author documents."""
     props = store.read("fato_proposicoes")
@@ -119,8 +136,8 @@ def load_authorship(
 
 
 def load_roll_calls(
-    store: StarStore, raw_dir: str, now: Column, *, limit: int | None = bridges.VOTES_LIMIT,
-    votacao_id: str | None = None, multi_line: bool = True,
+    store: StarStore, raw_dir: str, now: Column, *, limit: int | None = None,
+    votacao_id: str | None = None, multi_line: bool | None = None,
 ) -> dict[str, int]:
     """Roll-call job over the landed vote documents."""
     votings = store.read("fato_votacoes")

@@ -91,7 +91,8 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Table columns in order and type: absent ones become their default or
-    NULL, NaN becomes NULL, unknown ones are left out."""
+    NULL, NaN becomes NULL, unknown ones are left out. A value beyond its
+    column's range fails the write: turned into NULL it would be lost."""
     defaults = DEFAULTS.get(table, {})
     kinds = dict(df.dtypes)
     out = []
@@ -102,5 +103,5 @@ def conform(df: DataFrame, table: str) -> DataFrame:
                 value = F.when(~F.isnan(value), value)
         else:
             value = F.lit(defaults.get(field.name))
-        out.append(value.try_cast(field.dataType).alias(field.name))
+        out.append(value.cast(field.dataType).alias(field.name))
     return df.select(*out)

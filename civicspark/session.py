@@ -35,8 +35,9 @@ def build_session(app_name: str = "civicspark", master: str | None = None, **ext
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local runs, tests) a new temporary
-    folder is made, once per session.
+    Only a local master may do without that setting (tests): a new temporary
+    folder is made, once per session. On a cluster executors would write to
+    their own disks and lose data, so the setting is required there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -45,6 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
     known = context.getCheckpointDir()
     if known:
         return known.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="civicspark-"))
     return context.getCheckpointDir().rstrip("/")
 

@@ -167,7 +167,7 @@ def read_dataset(
     order_by: str | None = None,
     descending: bool = False,
     owner=None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     **filters,
 ) -> DataFrame:
     """Typed records of one dataset of the catalogue."""

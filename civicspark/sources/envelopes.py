@@ -28,9 +28,13 @@ def is_listing(snapshot: Column) -> Column:
     return ~snapshot.contains("_")
 
 
+# Digits of the largest BIGINT: a page number is never cut.
+_PAGE_DIGITS = 19
+
+
 def _page_part() -> Column:
-    page = F.coalesce(F.get_json_object("_meta.params", "$.pagina").try_cast("int"), F.lit(0))
-    return F.concat_ws("#", F.col("_metadata.file_name"), F.lpad(page.cast("string"), 9, "0"))
+    page = F.coalesce(F.get_json_object("_meta.params", "$.pagina").try_cast("bigint"), F.lit(0))
+    return F.concat_ws("#", F.col("_metadata.file_name"), F.lpad(page.cast("string"), _PAGE_DIGITS, "0"))
 
 
 def read_envelopes(
@@ -39,13 +43,28 @@ def read_envelopes(
     entity: str,
     payload_ddl: str,
     *,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     streaming: bool = False,
     max_files: int | None = None,
 ) -> DataFrame:
     """Envelopes of one dataset with their lineage; malformed documents keep
-    only ``_corrupt``. ``multi_line`` suits pretty-printed files; one document
-    per line (``multi_line=False``) stays splittable."""
+    only ``_corrupt``.
+
+    Both layouts are read and told apart by the file name: a crawler's file
+    ``<snapshot>.json`` holds one document over many lines, a landed part file
+    one document a line (and stays splittable). ``multi_line`` reads every file
+    as the one (True) or the other (False)."""
+    if multi_line is None:
+        layouts = [_read_layout(spark, raw_dir, entity, payload_ddl, many, streaming, max_files, glob)
+                   for many, glob in ((True, "*.json"), (False, "part-*"))]
+        return layouts[0].unionByName(layouts[1])
+    return _read_layout(spark, raw_dir, entity, payload_ddl, multi_line, streaming, max_files)
+
+
+def _read_layout(
+    spark: SparkSession, raw_dir: str, entity: str, payload_ddl: str, multi_line: bool, streaming: bool,
+    max_files: int | None, glob: str | None = None,
+) -> DataFrame:
     schema = f"_meta {META}, dados {payload_ddl}, _corrupt STRING"
     reader = spark.readStream if streaming else spark.read
     reader = (
@@ -55,6 +74,8 @@ def read_envelopes(
         .option("columnNameOfCorruptRecord", "_corrupt")
         .option("recursiveFileLookup", "true")
     )
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(f"{raw_dir}/{entity}").select(
@@ -76,6 +97,11 @@ def latest_listing(spark: SparkSession, raw_dir: str, entity: str) -> str | None
     return files.select(name.alias("s")).where(is_listing(F.col("s"))).agg(F.max("s")).first()[0]
 
 
+def unreadable(envelopes: DataFrame) -> DataFrame:
+    """Malformed documents: (_snapshot, _part), one row each."""
+    return envelopes.where(F.col("_corrupt").isNotNull() & F.col("dados").isNull()).select("_snapshot", "_part")
+
+
 def records(envelopes: DataFrame) -> DataFrame:
     """One row per array element with the element's fields and its origin."""
     rows = envelopes.select(

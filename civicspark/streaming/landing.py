@@ -22,7 +22,7 @@ WEEK_START = "4 days"
 
 
 def stream_records(
-    spark: SparkSession, raw_dir: str, dataset: str, *, max_files: int | None = 1000, multi_line: bool = True
+    spark: SparkSession, raw_dir: str, dataset: str, *, max_files: int | None = 1000, multi_line: bool | None = None
 ) -> DataFrame:
     """Streaming records of a listing dataset, same columns as the batch read."""
     ds = DATASETS[dataset]
@@ -47,7 +47,7 @@ def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
 
 
 def load_increment(
-    store: StarStore, raw_dir: str, checkpoint: str, now, *, max_files: int | None = 1000, multi_line: bool = True,
+    store: StarStore, raw_dir: str, checkpoint: str, now, *, max_files: int | None = 1000, multi_line: bool | None = None,
     after: Callable[[StarStore], None] | None = None,
 ) -> None:
     """Incremental load of propositions: each micro-batch is one idempotent
