@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from civicspark.functions import cost, vectors
-from civicspark.operators import enrich
+from civicspark.functions import cost, text, vectors
+from civicspark.operators import enrich, enrichment, load as load_jobs
 from civicspark.session import scratch_path
-from civicspark.sources import costlog
+from civicspark.sources import costlog, seeds
+from civicspark.sources.store import StarStore
 
 from .registry import query
 from .standins import documents, load, sql, table
@@ -80,6 +81,34 @@ query("b10_embed_job", """
         sql(spark, sf, "SELECT CAST(o_orderkey AS INT) AS proposicao_id, o_orderstatus AS tipo, o_orderpriority AS ementa FROM {orders}"),
         _length_encoder).select("proposicao_id", F.col("embedding")[0].cast("double").alias("primeiro"), F.col("erro").isNull().alias("ok")))
 
+def _enriched(spark, sf):
+    """A store of propositions enriched twice: the second run finds nothing to do. Returns store and cost log."""
+    st, log = StarStore(spark, scratch_path(spark, "star")), scratch_path(spark, "costs")
+    load_jobs.load_themes(st, F.current_timestamp())
+    st.write("fato_proposicoes", sql(
+        spark, sf, "SELECT o_orderkey AS proposicao_id, o_orderstatus AS tipo, o_orderpriority AS ementa FROM {orders}"))
+    for _ in range(2):
+        enrichment.run(st, F.current_timestamp(), "2026-06-14", log, encoder=_length_encoder,
+                       generator=lambda prompt: (str(len(prompt)), 1, 2))
+    return st, log
+
+
+_THEME_LENGTHS = ", ".join(f"({i}, {len(nome) + 2 + len(descricao or nome)})" for i, nome, descricao, _ in seeds.THEMES)
+_PROMPT_LENGTH = len(text.PROMPT_SYSTEM) + 2 + len(text.PROMPT_USER) - len("{tipo}") - len("{ementa}")
+query("b_enrichment_run", f"""
+    WITH p AS (SELECT CAST(o_orderkey AS INT) AS proposicao_id, length(o_orderstatus || ': ' || o_orderpriority)::DOUBLE AS a,
+        CAST({_PROMPT_LENGTH} + length(o_orderstatus) + length(o_orderpriority) AS VARCHAR) AS resumo_executivo FROM orders),
+    s AS (SELECT proposicao_id, tema_id, round((a * b + 1) / sqrt((a * a + 1) * (b * b + 1)), 12) AS c
+      FROM p, (VALUES {_THEME_LENGTHS}) t(tema_id, b)),
+    best AS (SELECT proposicao_id, CAST(arg_max(tema_id, c - tema_id * 1e-15) AS INT) AS tema_id FROM s GROUP BY 1)
+    SELECT proposicao_id, tema_id, a AS primeiro, resumo_executivo FROM p JOIN best USING (proposicao_id)""")(
+    lambda spark, sf: _enriched(spark, sf)[0].read("fato_proposicoes").select(
+        "proposicao_id", "tema_id", F.col("embedding")[0].cast("double").alias("primeiro"), "resumo_executivo"))
+query("b_enrichment_costs", """
+    SELECT 'embed_pending' AS operacao, CAST(sum(length(o_orderstatus || ': ' || o_orderpriority)) AS BIGINT) AS tokens FROM orders
+    UNION ALL SELECT 'summarize_pending', 3 * count(*) FROM orders""")(
+    lambda spark, sf: costlog.read(spark, _enriched(spark, sf)[1]).select("operacao", "tokens"))
+
 query("b11_summaries")(
     lambda spark, sf: enrich.summarize(documents(spark, sf).select("doc_id", F.col("text").alias("ementa")), key="doc_id"))
 

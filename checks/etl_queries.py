@@ -180,6 +180,19 @@ def _s12(spark, sf):
     return datasets.read_dataset(spark, raw_dir, "partidos").select("id", "nome")
 
 
+@query("s12_many_partitions", """
+    SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, count(*) AS vezes, TRUE AS origem_unica FROM lineitem GROUP BY 1""")
+def _s12_many(spark, sf):
+    """A landing of 64 tasks: every row comes back once, under an origin of its own."""
+    rows = load(spark, sf, "lineitem").selectExpr("concat(l_orderkey, '-', l_linenumber) AS id", "'t' AS ementa").repartition(64)
+    raw_dir = _landed(spark, rows, "proposicoes", ["2026-01-01T00-00-00Z"])
+    read = datasets.read_dataset(spark, raw_dir, "proposicoes")
+    counted = read.groupBy("id", *env.ORIGIN).agg(F.count(F.lit(1)).alias("n"))
+    places = read.groupBy(*env.ORIGIN).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(places, list(env.ORIGIN)).groupBy("id").agg(
+        F.sum("n").alias("vezes"), F.bool_and(F.col("rows") == 1).alias("origem_unica"))
+
+
 def _expense_dir(spark, sf):
     rows = table(spark, sf, "raw_despesas").drop(*env.ORIGIN)
     endpoint = F.concat(F.lit("/deputados/"), F.col("_owner"), F.lit("/despesas"))
@@ -301,6 +314,19 @@ def _landed_core(spark, sf):
     return st
 
 
+@query("u12_unreadable_listings", "SELECT 'transform' AS etapa, 'Documento bruto ilegivel' AS mensagem, count(*) AS linhas FROM supplier")
+def _unreadable(spark, sf):
+    """Truncated documents among the listings: one error row each, and the others are loaded."""
+    raw_dir = scratch_path(spark, "raw")
+    for entity in ("partidos", "deputados", "proposicoes", "votacoes"):
+        env.land(table(spark, sf, f"raw_{entity}").drop(*env.ORIGIN), raw_dir, entity, "2026-01-01T00-00-00Z")
+    cut = load(spark, sf, "supplier").selectExpr("""concat('{"_meta": {"endpoint": "/proposicoes"}, "dados": [{"id": ', s_suppkey) AS value""")
+    cut.write.text(f"{raw_dir}/proposicoes/2026-01-02T00-00-00Z.json")
+    st = store.StarStore(spark, scratch_path(spark, "star"))
+    load_jobs.load_core(st, raw_dir, F.current_timestamp())
+    return st.read("pipeline_erros").groupBy("etapa", "mensagem").agg(F.count(F.lit(1)).alias("linhas"))
+
+
 query("u12_core_load", f"""
     SELECT 'dim_partidos' AS tabela, count(DISTINCT CAST(id AS DOUBLE)) AS linhas FROM raw_partidos WHERE {_safe('sigla')} IS NOT NULL
     UNION ALL SELECT 'dim_deputados', count(DISTINCT id) FROM raw_deputados WHERE {_safe('siglaUf')} IS NOT NULL

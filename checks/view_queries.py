@@ -190,6 +190,7 @@ _DIGEST = f"""SELECT p.proposicao_id, p.tipo, p.ementa, p.resumo_executivo, p.qt
     WHERE p.data_apresentacao >= DATE '{AS_OF}' - INTERVAL 7 DAY
     ORDER BY coalesce(t.critico, FALSE) DESC, coalesce(p.qtd_autores, 0) DESC, p.data_apresentacao DESC, p.proposicao_id LIMIT 5"""
 view("v29_digest", V.digest, _DIGEST, as_of=AS_OF)
+view("st6_digest_without_rows", V.digest, _DIGEST.replace(AS_OF, "2999-01-01"), as_of="2999-01-01")
 view("v30_top_temas", V.top_temas, f"""
     SELECT tema, qtd FROM ({_THEMES}) s WHERE qtd > 0 ORDER BY qtd DESC, tema_id LIMIT 5""")
 view("v31_cobertura", V.enrichment_coverage, """

@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.text import proposition_text, render_prompt
+from ..functions.text import PROMPT_SYSTEM, proposition_text, render_prompt
 
 # Vector size, request batch size, score threshold, summary lines.
 DIMENSIONS = 1536
@@ -68,8 +68,12 @@ def embed(proposicoes: DataFrame, encoder: Encoder, batch_size: int = EMBED_BATC
     """(proposicao_id, embedding, tokens, erro). Texts go to the encoder in
     batches; a failing batch keeps a NULL vector and its message, so finished
     batches are never lost. Tokens are booked on the first row of a batch."""
-    rows = proposicoes.select("proposicao_id", proposition_text(F.col("tipo"), F.col("ementa")).alias("texto"))
+    return embed_texts(
+        proposicoes.select("proposicao_id", proposition_text(F.col("tipo"), F.col("ementa")).alias("texto")), encoder, batch_size)
 
+
+def embed_texts(rows: DataFrame, encoder: Encoder, batch_size: int = EMBED_BATCH) -> DataFrame:
+    """``embed`` for rows (proposicao_id, texto)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for start in range(0, len(frame), batch_size):
@@ -221,8 +225,9 @@ def summarize(
     proposicoes: DataFrame, generator: Generator = offline_generator, *, prompt: bool = False, key: str = "proposicao_id"
 ) -> DataFrame:
     """(key, resumo_executivo, tokens_in, tokens_out, erro). ``prompt`` sends
-    the rendered prompt to the generator instead of the bare text."""
-    text = render_prompt(F.col("tipo"), F.col("ementa")) if prompt else F.col("ementa")
+    the system text and the rendered prompt to the generator instead of the bare text."""
+    asked = F.concat(F.lit(f"{PROMPT_SYSTEM}\n\n"), render_prompt(F.col("tipo"), F.col("ementa")))
+    text = asked if prompt else F.col("ementa")
     rows = proposicoes.select(key, text.alias("texto"))
     schema = StructType([rows.schema[key]]).simpleString()[len("struct<"):-1]
 

@@ -202,3 +202,22 @@ def test_quality_report_and_quarantine(spark):
     good, bad = quality.split(df, rules)
     assert good.count() == 1 and sorted(r["motivos"] for r in rows(bad)) == [["a"], ["b"]]
     assert {r["situacao"]: r["linhas"] for r in rows(quality.validity_counts(df, rules))} == {"validas": 1, "invalidas": 2, "motivo_a": 1, "motivo_b": 1}
+
+
+def test_null_and_ragged_vectors_have_no_theme(spark):
+    from civicspark.operators import enrich
+
+    themes = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "tema_id int, vetor array<double>")
+    found = enrich.classify(spark.createDataFrame(
+        [(1, [2.0, 0.1]), (2, None), (3, [1.0]), (4, [0.0, 0.0]), (5, [0.1, 3.0])], "id int, embedding array<float>"), themes)
+    got = {r["id"]: (r["tema_id"], round(r["score"], 3)) for r in found.collect()}
+    assert got == {1: (1, 0.999), 2: (None, 0.0), 3: (None, 0.0), 4: (None, 0.0), 5: (2, 0.999)}
+
+
+def test_distinct_counts_do_not_expand_rows(spark):
+    from checks import standins
+    from civicspark.plans import views
+
+    tables = standins.tables(spark, "/root/testdata/sf0.001")
+    for view in (views.heatmap_tema_partido, views.proposicoes_por_partido, views.votos_partido_tema):
+        assert "Expand" not in view(tables)._jdf.queryExecution().optimizedPlan().toString()

@@ -1,9 +1,11 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from civicspark.functions import uri
 from civicspark.operators import bridges, load, transforms as T
+from civicspark.schemas import conform
 from civicspark.sources import costlog, datasets, envelopes as env
 from civicspark.sources.seeds import THEMES
 from civicspark.sources.store import StarStore
@@ -96,6 +98,31 @@ def test_landing_round_trip(spark, raw):
     assert env.records(docs).select("id").distinct().count() == 1050
 
 
+def test_both_layouts_in_one_folder(spark, raw):
+    raw.put("partidos", "2026-01-01T00-00-00Z", [{"id": "a"}, {"id": "b"}])
+    env.land(spark.range(2500).selectExpr("CAST(id AS STRING) AS id", "'n' AS nome").repartition(30), raw.path, "partidos", "2026-01-02T00-00-00Z")
+    read = datasets.read_dataset(spark, raw.path, "partidos")
+    assert read.select("id").distinct().count() == read.count() == 2502
+    assert read.select(*env.ORIGIN).distinct().count() == 2502
+
+
+def test_unreadable_listings_are_logged(spark, raw, tmp_path):
+    for entity, record in (("partidos", {"id": 1, "sigla": "P", "nome": "x"}), ("deputados", {"id": 1, "nome": "D", "siglaUf": "SP"}),
+                           ("proposicoes", {"id": 1, "ementa": "e"}), ("votacoes", {"id": "1-1", "data": "2026-01-01"})):
+        raw.put(entity, "2026-01-01T00-00-00Z", [record])
+    raw.put("proposicoes", "2026-01-02T00-00-00Z", None, text='{"_meta": {}, "dados": [{"id": 2,')
+    store = StarStore(spark, str(tmp_path / "star"))
+    assert load.load_core(store, raw.path, now())["fato_proposicoes"] == 1
+    logged = rows(store.read("pipeline_erros"))
+    assert [(r["etapa"], r["entidade_id"][:29]) for r in logged] == [("transform", "proposicoes/2026-01-02T00-00-")]
+
+
+def test_values_out_of_range_fail_the_write(spark):
+    rows_out = spark.createDataFrame([(3_000_000_000, "PL", "e")], "proposicao_id long, tipo string, ementa string")
+    with pytest.raises(Exception, match="OVERFLOW|overflow"):
+        conform(rows_out, "fato_proposicoes").collect()
+
+
 def _authors(**over):
     return {"uri": "https://x/deputados/1", "nome": "Ana", "codTipo": 10000, "tipo": "Deputado(a)", "ordemAssinatura": 1, "proponente": 1, **over}
 
