@@ -646,6 +646,20 @@ def _run(spark, counts, keys):
     return landing.final_counts(counts, keys, scratch_path(spark, "checkpoint"), scratch_path(spark, "stream-out"))
 
 
+def _added(spark, stream, count):
+    return landing.added_counts(stream, count, "qtd", scratch_path(spark, "checkpoint"), scratch_path(spark, "stream-out"))
+
+
+def _newest_first(spark, sf):
+    """Events whose newest days are landed first: all others arrive late, up to a month."""
+    folder = scratch_path(spark, "events")
+    events = load(spark, sf, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), F.dayofmonth("ts").alias("d"))
+    for part in (F.col("d") > 20, F.col("d").between(11, 20), F.col("d") <= 10):
+        events.where(part).drop("d").coalesce(1).write.mode("append").json(folder)
+    rows = spark.readStream.schema("event_id BIGINT, ts STRING").option("maxFilesPerTrigger", 1).json(folder)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 query("st1_stream_records", "SELECT count(*) AS n, count(DISTINCT id) AS ids FROM raw_proposicoes")(
     lambda spark, sf: _stream_landing(spark, sf))
 
@@ -679,9 +693,11 @@ def _st2(spark, sf):
 query("st3_live_counts", "SELECT event_type, count(*) AS qtd FROM events GROUP BY 1")(
     lambda spark, sf: _run(spark, _event_stream(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("qtd")), ["event_type"]))
 query("st4_daily_series", "SELECT CAST(ts AS DATE) AS dia, event_type, count(*) AS qtd FROM events GROUP BY 1, 2")(
-    lambda spark, sf: _run(spark, landing.day_counts(_event_stream(spark, sf), "ts", "event_type"), ["dia", "event_type"]))
+    lambda spark, sf: _added(spark, _event_stream(spark, sf), lambda rows: landing.day_counts(rows, "ts", "event_type")))
 query("st4_weekly_series", "SELECT CAST(date_trunc('week', ts) AS DATE) AS semana, count(*) AS qtd FROM events GROUP BY 1")(
-    lambda spark, sf: _run(spark, landing.week_counts(_event_stream(spark, sf), "ts"), ["semana"]))
+    lambda spark, sf: _added(spark, _event_stream(spark, sf), lambda rows: landing.week_counts(rows, "ts")))
+query("st5_very_late_rows", "SELECT CAST(ts AS DATE) AS dia, count(*) AS qtd FROM events GROUP BY 1")(
+    lambda spark, sf: _added(spark, _newest_first(spark, sf), lambda rows: landing.day_counts(rows, "ts")))
 query("st5_late_data", "SELECT CAST(date_trunc('week', ts) AS DATE) AS semana, count(*) AS qtd FROM events GROUP BY 1")(
     lambda spark, sf: _run(spark, landing.week_counts(
         landing.deduplicated(_twice(_event_stream(spark, sf)), ["event_id"], "ts", "40 days"), "ts"), ["semana"]))

@@ -79,6 +79,22 @@ def week_counts(stream: DataFrame, instant: str, *keys: str) -> DataFrame:
     )
 
 
+def added_counts(
+    stream: DataFrame, count: Callable[[DataFrame], DataFrame], value: str, checkpoint: str, out: str
+) -> DataFrame:
+    """Counts of a growing stream without any state: each micro-batch is counted on
+    its own and written under its id, and the parts are added when they are read.
+
+    A row may be arbitrarily late and still counts; a replayed batch overwrites its
+    own part. ``count`` gives the keys and the additive column ``value``."""
+    spark = stream.sparkSession
+    shape = count(spark.createDataFrame([], stream.schema))
+    run_batches(stream, lambda batch, n: count(batch).write.mode("overwrite").parquet(f"{out}/b={n}"), checkpoint)
+    parts = spark.read.schema(shape.schema).option("recursiveFileLookup", "true").parquet(out)
+    keys = [c for c in shape.columns if c != value]
+    return parts.groupBy(*keys).agg(F.sum(value).alias(value)).select(*shape.columns)
+
+
 def deduplicated(stream: DataFrame, keys: list[str], instant: str, delay: str) -> DataFrame:
     """Bounded-state duplicate removal: copies arriving within ``delay``."""
     return stream.withWatermark(instant, delay).dropDuplicatesWithinWatermark(keys)
