@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, functions as F
 ORDERS, BITS, SAMPLE_ROWS = (4, 6, 8), 20, 1200
 ROUNDS, PENALTY, SMOOTHING = 100, 1e-3, 1.0
 THRESHOLD = 0.7
+#: Features that the fit handles at a time.
+BLOCK = 1_000_000
 #: Characters that are hashed at a time; longer texts are read in overlapping pieces.
 PIECE = 1 << 20
 
@@ -65,22 +67,27 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
     size, toxic = 1 << BITS, np.asarray(toxic, float)
     if not len(rows) or toxic.min() == toxic.max():
         return Model(np.zeros(size), 30.0 if len(rows) and toxic[0] else -30.0)
-    lengths = np.array([len(r) for r in rows])
-    ids, of = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
-    with_toxic = np.bincount(ids, weights=toxic[of], minlength=size)
-    with_other = np.bincount(ids, minlength=size) - with_toxic
-    ratio = (np.log((with_toxic + SMOOTHING) / (toxic.sum() + 2 * SMOOTHING))
-             - np.log((with_other + SMOOTHING) / ((1 - toxic).sum() + 2 * SMOOTHING)))
-    scaled = ratio.astype(np.float32)[ids]
+    counts = [np.zeros(size), np.zeros(size)]
+    for found, y in zip(rows, toxic):
+        counts[int(y)][found] += 1  # the buckets of a row are distinct
+    ratio = (np.log((counts[1] + SMOOTHING) / (toxic.sum() + 2 * SMOOTHING))
+             - np.log((counts[0] + SMOOTHING) / ((1 - toxic).sum() + 2 * SMOOTHING)))
     weight = np.where(toxic > 0, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / len(rows)  # both classes count alike
     # steps are as long as the largest row allows
-    step = 4.0 / max(1.0, np.percentile(np.bincount(of, weights=scaled * scaled, minlength=len(rows)), 95))
+    lengths = np.array([len(r) for r in rows])
+    step = 4.0 / max(1.0, np.percentile([(ratio[r] ** 2).sum() for r in rows], 95))
+    blocks = np.split(np.arange(len(rows)), np.flatnonzero(np.diff(np.cumsum(lengths) // BLOCK)) + 1)
     w, bias, ahead_w, ahead_bias = np.zeros(size), 0.0, np.zeros(size), 0.0
     for k in range(ROUNDS):
-        margin = np.bincount(of, weights=scaled * ahead_w[ids], minlength=len(rows)) + ahead_bias
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) * weight
-        gradient = np.bincount(ids, weights=scaled * error[of], minlength=size) + PENALTY * ahead_w / len(rows)
-        new_w, new_bias = ahead_w - step * len(rows) ** 0.5 * gradient, ahead_bias - step * len(rows) ** 0.5 * error.sum()
+        gradient, slope = PENALTY * ahead_w / len(rows), 0.0
+        scaled = ahead_w * ratio
+        for block in blocks:
+            ids = np.concatenate([rows[i] for i in block])
+            margin = np.bincount(np.repeat(np.arange(len(block)), lengths[block]), weights=scaled[ids], minlength=len(block)) + ahead_bias
+            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic[block]) * weight[block]
+            gradient += ratio * np.bincount(ids, weights=np.repeat(error, lengths[block]), minlength=size)
+            slope += error.sum()
+        new_w, new_bias = ahead_w - step * len(rows) ** 0.5 * gradient, ahead_bias - step * len(rows) ** 0.5 * slope
         pull = k / (k + 3)
         ahead_w, ahead_bias = new_w + pull * (new_w - w), new_bias + pull * (new_bias - bias)
         w, bias = new_w, new_bias
@@ -118,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("toxic", "text")
     rows = sample.mapInArrow(run, "toxic int, features binary").toArrow()
-    found = [np.frombuffer(x, "<i4") for x in rows.column("features").to_pylist()]
+    found = [np.frombuffer(x.as_buffer(), "<i4") for x in rows.column("features")]
     return fit(found, rows.column("toxic").to_numpy())
 
 
