@@ -22,7 +22,7 @@ from .common import keep
 from .runs import runs
 
 #: Symbols that a task hashes at a time, and runs that it combines at a time.
-PIECE, COMBINED = 1_500_000, 1_000_000
+PIECE, COMBINED = 400_000, 400_000
 PROBE, OPEN, DECIDED = 0, 1, 2
 FIRST_ID = -(1 << 63)
 
