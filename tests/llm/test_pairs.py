@@ -141,3 +141,14 @@ def test_similar_texts_against_all_pairs(spark, small, monkeypatch):
     roots = brute.groups(len(plain), lambda i, j: brute.jaccard(plain[i][1], plain[j][1]) >= 0.8)
     assert sorted(r.doc_id for r in kept.collect()) == sorted({plain[r][0] for r in roots})
     assert similar_texts.distinct_texts(frame.where("false")).count() == 0
+
+
+def test_a_line_repeated_often_does_not_hide_a_near_copy(spark):
+    """Candidates are looked for by shingle sets, as links are decided."""
+    rng = random.Random(8)
+    docs = []
+    for times in (20, 60):
+        base, line = words(rng, 300), words(rng, 12)
+        docs += [(len(docs), " ".join(base)), (len(docs) + 1, " ".join(base + line * times))]
+        assert brute.jaccard(docs[-2][1], docs[-1][1]) >= 0.8
+    assert sorted(r.doc_id for r in similar_texts.distinct_texts(spark.createDataFrame(docs, DOC)).collect()) == [0, 2]
