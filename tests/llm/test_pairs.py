@@ -152,3 +152,18 @@ def test_a_line_repeated_often_does_not_hide_a_near_copy(spark):
         docs += [(len(docs), " ".join(base)), (len(docs) + 1, " ".join(base + line * times))]
         assert brute.jaccard(docs[-2][1], docs[-1][1]) >= 0.8
     assert sorted(r.doc_id for r in similar_texts.distinct_texts(spark.createDataFrame(docs, DOC)).collect()) == [0, 2]
+
+
+def stay(spark, docs):
+    return sorted(r.doc_id for r in similar_texts.distinct_texts(spark.createDataFrame(docs, DOC)).collect())
+
+
+def test_a_family_just_below_does_not_hide_pairs_above(spark):
+    """300 texts at 0.787 to each other, each with one partner at 0.802."""
+    rng, docs = random.Random(9), []
+    common = words(rng, 100)
+    for i in range(150):
+        first = f"own{i}"
+        docs += [(2 * i + k, " ".join([*common, first, *(f"{c}{i}x{k}" for c in "abcdefghijkl")])) for k in (0, 1)]
+    assert brute.jaccard(docs[0][1], docs[1][1]) >= 0.8 > brute.jaccard(docs[0][1], docs[2][1]) > 0.78
+    assert stay(spark, docs) == [2 * i for i in range(150)]
