@@ -167,3 +167,14 @@ def test_a_family_just_below_does_not_hide_pairs_above(spark):
         docs += [(2 * i + k, " ".join([*common, first, *(f"{c}{i}x{k}" for c in "abcdefghijkl")])) for k in (0, 1)]
     assert brute.jaccard(docs[0][1], docs[1][1]) >= 0.8 > brute.jaccard(docs[0][1], docs[2][1]) > 0.78
     assert stay(spark, docs) == [2 * i for i in range(150)]
+
+
+def test_short_near_copies_are_all_found(spark):
+    """Pairs at exactly 0.8 of 8 and 13 words: a word appended, the last one replaced."""
+    rng, docs = random.Random(10), []
+    for i in range(300):
+        short, long = words(rng, 8), words(rng, 13)
+        docs += [(4 * i, " ".join(short)), (4 * i + 1, " ".join([*short, "more"])),
+                 (4 * i + 2, " ".join(long)), (4 * i + 3, " ".join([*long[:-1], "other"]))]
+    assert brute.jaccard(docs[0][1], docs[1][1]) == brute.jaccard(docs[2][1], docs[3][1]) == 0.8
+    assert stay(spark, docs) == list(range(0, 1200, 2))
