@@ -178,3 +178,10 @@ def test_short_near_copies_are_all_found(spark):
                  (4 * i + 2, " ".join(long)), (4 * i + 3, " ".join([*long[:-1], "other"]))]
     assert brute.jaccard(docs[0][1], docs[1][1]) == brute.jaccard(docs[2][1], docs[3][1]) == 0.8
     assert stay(spark, docs) == list(range(0, 1200, 2))
+
+
+def test_different_texts_of_one_id_both_stay(spark):
+    rng = random.Random(11)
+    one, two = words(rng, 60), words(rng, 60)
+    docs = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join([*one, "more"])), (None, " ".join([*two, "more"]))]
+    assert stay(spark, docs) == [1, 1]
