@@ -1,28 +1,34 @@
 """Embedding near-duplicates by spherical k-means cells (operator 10).
 
 Centroids are fitted on a bounded sample; every vector is assigned, by Arrow
-batches, to its ``probes`` nearest cells. Vectors of one cell are compared by
-blocked cosine products in double precision: a cell is cut into chunks, and a task
-holds two chunks. A pair that shares several cells counts in the smallest one. A
-block returns link counts and a spanning forest, never its pairs. Equal vectors
+batches, to its nearest cell, its home, and to each smaller cell whose border is
+within reach of a link: there it meets all vectors of that home that it can link with,
+so no pair is lost, however few cells or sampled vectors there are (they only save
+work); where links reach over most borders, all vectors are one cell. Vectors of one cell are compared by blocked cosine products in double
+precision: a cell is cut into chunks, and a task holds two chunks. A pair counts in
+the smaller of its two homes. A block returns link counts and a spanning forest, never its pairs. Equal vectors
 are merged before all that and counted with their multiplicity.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .blocks import block_pairs, labels
+from . import blocks
+from .blocks import labels
 from .common import keep
 from .components import components
 
 COSINE = 0.95
-#: Cells that each vector is compared in.
-PROBES = 2
+#: Rows of a chunk, and of a stretch of it that is multiplied at a time.
+SIDE, STRETCH = 4096, 512
+
+block_pairs = partial(blocks.block_pairs, side=SIDE)
 #: Vectors aimed at in a cell, bounds on the number of cells and on the rows that centroids are fitted on.
 CELL_ROWS, MAX_CELLS, SAMPLE_ROWS, ROUNDS = 1000, 4096, 20_000, 15
 
@@ -62,19 +68,42 @@ def _units():
     return run
 
 
-def _assign(centroids: np.ndarray, probes: int):
-    """Nearest cells of each vector, ascending; vectors of another dimension share the cell -1 of their dimension."""
+def _reach(centroids: np.ndarray, threshold: float) -> np.ndarray:
+    """How much smaller than that of the home a product may be, for every two cells."""
+    squares = (centroids ** 2).sum(axis=1)
+    gaps = np.sqrt(np.maximum(0, squares[:, None] + squares - 2 * centroids @ centroids.T))
+    return (np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6) * gaps + 1e-9
+
+
+def _pays(centroids: np.ndarray, sample: np.ndarray, total: int, threshold: float) -> bool:
+    """Whether these cells copy a vector less often than one cell of all vectors does."""
+    score, reach = sample[:2000] @ centroids.T, _reach(centroids, threshold)
+    visits = np.mean([1 + (y[h] - y[:h] <= reach[h, :h]).sum() for y, h in zip(score, score.argmax(axis=1))])
+    return visits * np.ceil(total * visits / len(centroids) / SIDE) < np.ceil(total / SIDE)
+
+
+def _assign(centroids: np.ndarray, threshold: float):
+    """Home of each vector and the cells it is compared in; vectors of another dimension share the cell -1 of their dimension.
+
+    A vector y links with no vector whose home is c if y is farther than a link from all
+    points that are nearer to c than to y's home: (y.home - y.c) / |home - c| is that distance.
+    """
+    reach = _reach(centroids, threshold)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
+            home = np.full(len(dims), -1, np.int32)
             near: list[list[int]] = [[-1]] * len(dims)
             own = np.flatnonzero(dims == centroids.shape[1])
             if len(own):
-                rows = _vectors(batch.column("unit").take(pa.array(own)), centroids.shape[1])
-                top = np.sort(np.argsort(-(rows @ centroids.T), axis=1, kind="stable")[:, :probes], axis=1)
-                for i, cells in zip(own, top.tolist()):
-                    near[i] = cells
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.list_(pa.int32()))], [*batch.schema.names, "cells"])
+                score = _vectors(batch.column("unit").take(pa.array(own)), centroids.shape[1]) @ centroids.T
+                home[own] = score.argmax(axis=1)
+                for i, y in zip(own, score):
+                    h = home[i]
+                    near[i] = [*np.flatnonzero(y[h] - y[:h] <= reach[h, :h]).tolist(), int(h)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(home), pa.array(near, pa.list_(pa.int32()))], [*batch.schema.names, "home", "cells"])
 
     return run
 
@@ -88,17 +117,16 @@ def _block(threshold: float):
         order = np.argsort(vec, kind="stable")
         unit = _vectors(found.column("unit"), found.column("dim")[0].as_py())[order]
         vec, n, chunk = vec[order], n[order], chunk[order]
-        cells = np.array(found.column("cells").to_pylist())[order]
-        near = unit @ unit.T >= threshold
-        shared = np.zeros(near.shape, bool)  # a smaller cell has the pair as well
-        for k in range(cells.shape[1]):
-            for m in range(cells.shape[1]):
-                shared |= (cells[:, k, None] == cells[None, :, m]) & (cells[:, k] < cell)[:, None]
-        near &= ~shared
+        at_home = found.column("home").to_numpy()[order] == cell
+        near = np.zeros((len(vec), len(vec)), bool)
+        for k in range(0, len(vec), STRETCH):
+            near[k:k + STRETCH] = unit[k:k + STRETCH] @ unit.T >= threshold
+        near |= near.T  # products of stretches may round differently
+        near &= at_home[:, None] | at_home[None, :]  # two visitors meet in another cell
         np.fill_diagonal(near, False)
         if i != j:
             near &= chunk[:, None] != chunk[None, :]
-        links = near @ n.astype(np.int64)
+        links = np.array([n[row].sum() for row in near], np.int64)
         first = labels(near)
         some = np.flatnonzero(near.any(axis=1))
         return pa.table([vec[some], links[some], vec[first[some]]], schema=schema)
@@ -107,7 +135,7 @@ def _block(threshold: float):
 
 
 def near_duplicates(
-    vectors: DataFrame, threshold: float = COSINE, probes: int = PROBES, cell_rows: int = CELL_ROWS,
+    vectors: DataFrame, threshold: float = COSINE, cell_rows: int = CELL_ROWS,
     max_cells: int = MAX_CELLS, sample_rows: int = SAMPLE_ROWS, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept), one per row of ``vectors``.
@@ -115,9 +143,8 @@ def near_duplicates(
     Vectors that are null, empty, zero or hold a null or non-finite component link
     with nothing, nor do rows with a null vec_id (their component is null, kept false);
     vectors link only with those of their own dimension. Equal vectors always link.
-    Rows that repeat a vec_id are one vertex of the component graph. Pairs at or above
-    the threshold are missed only if they share none of their ``probes`` nearest cells;
-    tests measure the recall. Other columns are ignored.
+    Rows that repeat a vec_id are one vertex of the component graph. No pair at or above
+    the threshold is missed. Other columns are ignored.
     """
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
@@ -137,13 +164,15 @@ def near_duplicates(
     dim = max(set(dims), key=lambda d: (dims.count(d), d), default=1)
     base = np.array([np.frombuffer(r["unit"], "<f8") for r in sample if r["dim"] == dim]).reshape(-1, dim)
     centroids = fit_centroids(base, max(1, min(max_cells, -(-total // cell_rows)))) if len(base) else np.ones((1, dim))
+    if len(base) and not _pays(centroids, base, total, threshold):
+        centroids = centroids[:1]
     placed = keep(units.mapInArrow(
-        _assign(centroids, min(probes, len(centroids))), "vec long, n long, dim int, unit binary, cells array<int>"), "placed")
+        _assign(centroids, threshold), "vec long, n long, dim int, unit binary, home int, cells array<int>"), "placed")
     members = placed.withColumn("cell", F.explode("cells"))
     sizes = members.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("rows"))
     dealt = block_pairs(members.join(sizes, ["dim", "cell"]), ["dim", "cell"], "rows", "vec")
     found = keep(
-        dealt.select("dim", "cell", "_i", "_j", "_chunk", "vec", "n", "unit", "cells")
+        dealt.select("dim", "cell", "_i", "_j", "_chunk", "vec", "n", "unit", "home")
         .groupBy("dim", "cell", "_i", "_j").applyInArrow(_block(threshold), "vec long, links long, first long"), "links")
     roots = components(found.select(F.col("vec").alias("a"), F.col("first").alias("b")))
     counts = found.groupBy("vec").agg(F.sum("links").alias("links"))

@@ -185,3 +185,19 @@ def test_different_texts_of_one_id_both_stay(spark):
     one, two = words(rng, 60), words(rng, 60)
     docs = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join([*one, "more"])), (None, " ".join([*two, "more"]))]
     assert stay(spark, docs) == [1, 1]
+
+
+def test_embedding_links_over_hundreds_of_cells(spark, monkeypatch):
+    """Pairs at a cosine of 0.95 to 0.98 in 400 cells fitted on five vectors each."""
+    monkeypatch.setattr(embeddings, "_pays", lambda *a: True, raising=False)
+    rng = np.random.default_rng(12)
+    one, other = rng.normal(size=(2, 1500, 24))
+    one /= np.linalg.norm(one, axis=1)[:, None]
+    other -= (one * other).sum(axis=1)[:, None] * one
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    cosine = rng.uniform(0.951, 0.98, 1500)[:, None]
+    unit = np.concatenate([one, cosine * one + np.sqrt(1 - cosine ** 2) * other])
+    near = unit @ unit.T >= 0.95
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(frame, cell_rows=8, max_cells=400, sample_rows=2000).collect()}
+    assert got == {i: int(n) - 1 for i, n in enumerate(near.sum(axis=1))} and near.sum() >= 6000
