@@ -7,13 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontamination, embeddings, language, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from . import (
+    chat, decontamination, embeddings, language, lexical_search, mixing, oracles, packing, prefix_trie, sharding, simhash, substring_dedup,
+    suffix_dedup, toxicity,
+)
 from .common import gapless, keep, table
 
 SHARDS = 24
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_lexical_search": oracles.LEXICAL_SEARCH,
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
+}
 
 
 def query(fn):
@@ -92,3 +98,18 @@ def op9_language_id(spark, sf_dir):
 def op10_embedding_near_dedup(spark, sf_dir):
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings")).select(
         "vec_id", "n_links", "component_id", "kept")
+
+
+@query
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_source_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -92,3 +95,55 @@ def leaks(docs, items, k=5, least=0.8):
                     out.add((doc_id, item_id))
                     break
     return out
+
+
+def search(docs, items, k=50):
+    """(item_id, rank, doc_id, score) of every document scored for every item."""
+    def found(text):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+    counts = [(i, Counter(found(text))) for i, text in docs]
+    n_docs, length = sum(1 for _, c in counts if c), sum(c.total() for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    wanted, out = {}, []
+    for i, text in items:
+        wanted.setdefault(i, set()).update(found(text))
+    for i, terms in wanted.items():
+        scores = []
+        for doc_id, c in counts:
+            score = 0
+            for t in terms & c.keys():
+                m = 100 - 50 + 50 * c.total() * n_docs // length
+                score += math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 20 * m))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id))
+        out += [(i, rank + 1, doc_id, -s) for rank, (s, _, doc_id) in enumerate(sorted(scores)[:k])]
+    return out
+
+
+def trie(rows, family=100, heads=6):
+    """Set of nodes of (conv_id, turn, role, text), as the operator returns them."""
+    convs = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    convs = {c: [t[2:] for t in sorted(own)] for c, own in convs.items()}
+    paths = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        paths[c] = tuple(convs.get(c - c % family, [])[:h] + own[h:])
+    members = {}
+    for c, path in paths.items():
+        for d in range(len(path) + 1):
+            members.setdefault(path[:d], []).append(c)
+    out = set()
+    for node, ids in members.items():
+        below = [n for n in members if n[:len(node)] == node]
+        children = [n for n in below if len(n) == len(node) + 1]
+        leaves = [n for n in below if not any(m[:-1] == n for m in members if m)]
+        saved = sum((len(members[n]) - 1) * len(n[-1][1]) for n in below if n)
+        ends = ",".join(str(c) for c in sorted(ids) if paths[c] == node)
+        out.add((min(ids), len(node), min(members[node[:-1]]) if node else None, len(ids), len(children), len(leaves), saved,
+                 hashlib.sha256(ends.encode()).hexdigest()))
+    return out
