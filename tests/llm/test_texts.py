@@ -124,16 +124,17 @@ def test_plan_is_best_fit_decreasing():
 
 def test_token_ids_are_the_tokenizer_files():
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    with open(RANKS, "rb") as file:
-        tokenizer = packing.encoding(file.read())
+    with open(RANKS, "rb") as ranks, open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as whole:
+        token_ids = packing.Ids(ranks.read(), whole.read())
     texts = ["", " ", "a", "It's  we'll\n\n\tgo 123½ ²³ ٣٤", "naïve café    x", "日本語 ​👩‍👩‍👧 é", "a<|endoftext|>b", "\x00\x1c\x85 z", "x" * 3000]
     texts += ["".join(random.Random(i).choices("aé \n\t'sß1٣.,!  日<|>", k=200)) for i in range(200)]
+    texts += [" " * 2_000_000, "\n" * 2_000_000, "a" + " \n" * 600_000 + "b"]
     for text in texts:
-        assert packing.token_ids(text, tokenizer).tolist() == [*reference.encode(text, add_special_tokens=False).ids, 0]
+        assert token_ids(text).tolist() == [*reference.encode(text, add_special_tokens=False).ids, 0]
 
 
 def test_packing_round_trip(spark):
-    docs = [(1, None), (2, ""), (3, "word " * 4000), (4, "a b"), (4, "a b"), (None, "z")] + [(10 + i, "some text " * i) for i in range(300)]
+    docs = [(1, None), (2, ""), (3, "word " * 4000), (5, " " * 2_000_000), (6, "\n" * 2_000_000), (4, "a b"), (4, "a b"), (None, "z")] + [(10 + i, "some text " * i) for i in range(300)]
     frame = spark.createDataFrame(docs, DOC).withColumn("offset", F.lit(7)).repartition(5)
     packed = common.keep(packing.pack(packing.pieces(frame, RANKS)), "packed")
     rows = packed.collect()
