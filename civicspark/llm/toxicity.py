@@ -14,11 +14,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from .common import keep
 
 #: Lengths of n-grams, bits of a bucket number, rows of each class that the model is fitted on.
 ORDERS, BITS, SAMPLE_ROWS = (4, 6, 8), 20, 1200
-ROUNDS, PENALTY, SMOOTHING = 100, 1e-3, 1.0
+#: Bytes of features (four each) that the driver fits on at most, half of them of each class.
+SAMPLE_BYTES = 64 << 20
+#: Texts of the sample that a feature must occur in.
+LEAST = 5
+ROUNDS, PENALTY, SMOOTHING = 40, 1e-3, 1.0
 THRESHOLD = 0.7
 #: Features that the fit handles at a time.
 BLOCK = 1_000_000
@@ -60,34 +66,55 @@ class Model:
 
 
 def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
-    """Ratios and accelerated gradient descent of the penalised logistic loss.
+    """Model of the features of each row and its label; see ``fit_rows``."""
+    return fit_rows(np.concatenate([np.zeros(0, np.int32), *rows]).astype(np.int32), np.array([len(r) for r in rows], np.int64), toxic)
+
+
+def fit_rows(ids: np.ndarray, lengths: np.ndarray, toxic: np.ndarray) -> Model:
+    """Ratios and accelerated gradient descent of the penalised logistic loss; ``ids`` are the rows' features one after another.
 
     With rows of one class only, or none, the score is that class's share (0.0 for no rows) everywhere.
     """
-    size, toxic = 1 << BITS, np.asarray(toxic, float)
-    if not len(rows) or toxic.min() == toxic.max():
-        return Model(np.zeros(size), 30.0 if len(rows) and toxic[0] else -30.0)
-    counts = [np.zeros(size), np.zeros(size)]
-    for found, y in zip(rows, toxic):
-        counts[int(y)][found] += 1  # the buckets of a row are distinct
-    ratio = (np.log((counts[1] + SMOOTHING) / (toxic.sum() + 2 * SMOOTHING))
-             - np.log((counts[0] + SMOOTHING) / ((1 - toxic).sum() + 2 * SMOOTHING)))
-    weight = np.where(toxic > 0, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / len(rows)  # both classes count alike
+    size, n, toxic = 1 << BITS, len(lengths), np.asarray(toxic, float)
+    if not n or toxic.min() == toxic.max():
+        return Model(np.zeros(size), 30.0 if n and toxic[0] else -30.0)
+    rows = np.repeat(np.arange(n, dtype=np.min_scalar_type(n)), lengths)
+    order = np.argsort(ids, kind="stable").astype(np.int32)
+    by_feature, known, firsts = rows[order], *np.unique(ids[order], return_index=True)
+    del order, rows
+    some = np.flatnonzero(lengths)
+    starts = (np.cumsum(lengths) - lengths)[some]
+
+    def summed(values: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Sums of values[at] over the stretches that begin at ``first``, some at a time."""
+        cut = np.unique(np.append(np.searchsorted(first, np.arange(0, len(at), BLOCK)), len(first)))
+        ends = np.append(first, len(at))
+        return np.concatenate([np.zeros(0), *(
+            np.add.reduceat(values[at[ends[x]:ends[y]]], first[x:y] - ends[x]) for x, y in zip(cut, cut[1:]))])
+
+    def spread(values: np.ndarray) -> np.ndarray:
+        """Sum of a value of each row at its features."""
+        out = np.zeros(size)
+        out[known] = summed(values, by_feature, firsts)
+        return out
+
+    def gathered(values: np.ndarray) -> np.ndarray:
+        """Sum of the values at each row's features."""
+        out = np.zeros(n)
+        out[some] = summed(values, ids, starts)
+        return out
+
+    ratio = (np.log((spread(toxic) + SMOOTHING) / (toxic.sum() + 2 * SMOOTHING))
+             - np.log((spread(1 - toxic) + SMOOTHING) / ((1 - toxic).sum() + 2 * SMOOTHING)))
+    weight = np.where(toxic > 0, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / n  # both classes count alike
     # steps are as long as the largest row allows
-    lengths = np.array([len(r) for r in rows])
-    step = 4.0 / max(1.0, np.percentile([(ratio[r] ** 2).sum() for r in rows], 95))
-    blocks = np.split(np.arange(len(rows)), np.flatnonzero(np.diff(np.cumsum(lengths) // BLOCK)) + 1)
+    step = 4.0 / max(1.0, np.percentile(gathered(ratio ** 2), 95)) * n ** 0.5
     w, bias, ahead_w, ahead_bias = np.zeros(size), 0.0, np.zeros(size), 0.0
     for k in range(ROUNDS):
-        gradient, slope = PENALTY * ahead_w / len(rows), 0.0
-        scaled = ahead_w * ratio
-        for block in blocks:
-            ids = np.concatenate([rows[i] for i in block])
-            margin = np.bincount(np.repeat(np.arange(len(block)), lengths[block]), weights=scaled[ids], minlength=len(block)) + ahead_bias
-            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic[block]) * weight[block]
-            gradient += ratio * np.bincount(ids, weights=np.repeat(error, lengths[block]), minlength=size)
-            slope += error.sum()
-        new_w, new_bias = ahead_w - step * len(rows) ** 0.5 * gradient, ahead_bias - step * len(rows) ** 0.5 * slope
+        margin = gathered(ahead_w * ratio) + ahead_bias
+        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) * weight
+        new_w = ahead_w - step * (PENALTY * ahead_w / n + ratio * spread(error))
+        new_bias = ahead_bias - step * error.sum()
         pull = k / (k + 3)
         ahead_w, ahead_bias = new_w + pull * (new_w - w), new_bias + pull * (new_bias - bias)
         w, bias = new_w, new_bias
@@ -99,11 +126,44 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def _sampled():
+    """(toxic, text) -> (toxic, features): distinct buckets of each text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.zeros(1 << BITS, np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):  # a text at a time: long ones have many features
+                found = features(batch.column("text")[i].as_py(), place).astype("<i4").tobytes()
+                yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(i, 1), pa.array([found], pa.binary())], ["toxic", "features"])
+
+    return run
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    count = np.zeros(1 << BITS, np.int64)
+    for batch in batches:
+        for row in batch.column("features"):
+            count[np.frombuffer(row.as_buffer(), "<i4")] += 1
+    some = np.flatnonzero(count)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(count[some])], ["bucket", "n"])
+
+
+def _only(known: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.frombuffer(x.as_buffer(), "<i4") for x in batch.column("features")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), pa.array([x[known[x]].tobytes() for x in rows], pa.binary())], ["toxic", "features"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Model from the labelled documents that are not held out.
 
-    Of each class the ``sample_rows`` ids of the smallest hash are used, whole texts. Labels
-    other than 0 and 1, null ids and repeated ids with both labels are left aside.
+    Of each class the ``sample_rows`` ids of the smallest hash are used, whole texts (of a
+    repeated id the smallest), as far as their features fit into ``sample_bytes``.
+    Features of fewer than ``LEAST`` of these texts are left out. Labels other than 0 and 1, null ids and repeated
+    ids with both labels are left aside.
     """
     clear = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -114,19 +174,24 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         clear.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).select("doc_id", "toxic")
         for y in (0, 1)
     ]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = np.zeros(1 << BITS, np.int64)
-        for batch in batches:
-            rows = [features(t.as_py(), place).astype("<i4").tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["toxic", "features"])
-
     # at most 2 x sample_rows ids: a proven bound
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("toxic", "text")
-    rows = sample.mapInArrow(run, "toxic int, features binary").toArrow()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
+        F.broadcast(chosen[0].union(chosen[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    sample = keep(texts.select("toxic", "text").mapInArrow(_sampled(), "toxic int, features binary"), "sample")
+    known = np.zeros(1 << BITS, bool)
+    shared = sample.mapInArrow(_bucket_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    known[shared.select("bucket").toArrow().column("bucket").to_numpy()] = True
+    told = keep(sample.mapInArrow(_only(known), "toxic int, features binary").withColumn("draw", F.xxhash64("features")), "shared-features")
+    # a row for each text of the sample
+    so_far = Window.partitionBy("toxic").orderBy("draw").rowsBetween(Window.unboundedPreceding, 0)
+    within = told.select("toxic", "draw", F.octet_length("features").alias("size")).withColumn("bytes", F.sum("size").over(so_far)).where(
+        F.col("bytes") <= sample_bytes // 2).groupBy("toxic").agg(F.max("draw").alias("last"))
+    rows = told.join(F.broadcast(within), "toxic").where(F.col("draw") <= F.col("last")).select("toxic", "features").toArrow()
     found = [np.frombuffer(x.as_buffer(), "<i4") for x in rows.column("features")]
-    return fit(found, rows.column("toxic").to_numpy())
+    lengths, toxic = np.array([len(x) for x in found], np.int64), rows.column("toxic").to_numpy()
+    ids = np.concatenate([np.zeros(0, np.int32), *found])
+    del found, rows
+    return fit_rows(ids, lengths, toxic)
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
