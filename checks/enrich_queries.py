@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicspark.functions import cost, text, vectors
-from civicspark.operators import enrich, enrichment, load as load_jobs
+from civicspark.operators import enrich, enrichment, load as load_jobs, vector_index
 from civicspark.session import scratch_path
 from civicspark.sources import costlog, seeds
 from civicspark.sources.store import StarStore
@@ -154,3 +154,29 @@ query("b13_semantic_search", f"""WITH {_CENTROIDS}
     lambda spark, sf: enrich.search(
         load(spark, sf, "embeddings"), _themes(spark, sf).where("tema_id = 4").first()["vetor"], "vec_id", k=25).select(
         "vec_id", F.round("score", 6).alias("score")))
+
+
+def _index(spark, sf):
+    """All vectors by cell, and every hundredth of them as a query."""
+    vectors_ = load(spark, sf, "embeddings")
+    index = vector_index.VectorIndex.build(vectors_, "vec_id", "embedding", scratch_path(spark, "index"), cell_rows=64)
+    return index, vectors_.where("vec_id % 100 = 0")
+
+
+_NEAREST = """n AS (SELECT q.vec_id AS consulta, e.vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 12) AS s
+      FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY consulta ORDER BY s DESC, vec_id) AS posicao FROM n)"""
+
+query("b13_cells_topk", f"WITH {_NEAREST} SELECT consulta, vec_id, CAST(posicao AS INT) AS posicao, round(s, 6) AS score FROM r WHERE posicao <= 10")(
+    lambda spark, sf: (lambda index, asked: index.search(asked, "vec_id", "embedding", k=10, probes=4, complete=True))(*_index(spark, sf)).select(
+        F.col("query").alias("consulta"), F.col("key").alias("vec_id"), F.col("rank").alias("posicao"), F.round("score", 6).alias("score")))
+
+
+@query("b13_cells_recall", f"""WITH {_NEAREST} SELECT count(*) AS pares, TRUE AS quase_todos, TRUE AS escores_exatos FROM r WHERE posicao <= 10""")
+def _cells_recall(spark, sf):
+    """Pairs of the exact ten nearest, whether 95 % of them are found in the nearest cells, and whether their scores are those of all pairs."""
+    index, asked = _index(spark, sf)
+    found = index.search(asked, "vec_id", "embedding", k=10)
+    exact = index.search(asked, "vec_id", "embedding", k=10, complete=True)
+    return vector_index.recall(found, exact).select(
+        "pares", (F.col("achados") >= 0.95 * F.col("pares")).alias("quase_todos"), (F.col("desiguais") == 0).alias("escores_exatos"))
