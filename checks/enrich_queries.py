@@ -109,7 +109,18 @@ query("b_enrichment_costs", """
     UNION ALL SELECT 'summarize_pending', 3 * count(*) FROM orders""")(
     lambda spark, sf: costlog.read(spark, _enriched(spark, sf)[1]).select("operacao", "tokens"))
 
-query("b11_summaries")(
+query("b11_summaries", r"""
+    WITH d AS (SELECT doc_id, text, list_filter(list_transform(
+          regexp_split_to_array(regexp_replace(text, '([.!?])[\s\x0B]+', '\1' || chr(10), 'g'), '\n+'),
+          lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS s FROM documents),
+    w AS (SELECT doc_id, m AS palavra, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS m FROM d) GROUP BY 1, 2),
+    f AS (SELECT doc_id, i, s[i] AS frase FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM d)),
+    p AS (SELECT doc_id, i, unnest(regexp_extract_all(lower(frase), '[\p{L}\p{N}_]+')) AS palavra FROM f),
+    t AS (SELECT doc_id, i, sum(n)::DOUBLE / count(*) AS peso FROM p JOIN w USING (doc_id, palavra) GROUP BY 1, 2),
+    r AS (SELECT f.*, row_number() OVER (PARTITION BY f.doc_id ORDER BY coalesce(peso, 0) DESC, f.i) AS posicao FROM f LEFT JOIN t USING (doc_id, i)),
+    o AS (SELECT doc_id, string_agg(frase, chr(10) ORDER BY i) AS resumo FROM r WHERE posicao <= 3 GROUP BY 1)
+    SELECT doc_id, coalesce(resumo, '') AS resumo_executivo, len(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS tokens_in,
+      len(regexp_extract_all(coalesce(resumo, ''), '[\p{L}\p{N}_]+')) AS tokens_out, CAST(NULL AS VARCHAR) AS erro FROM d LEFT JOIN o USING (doc_id)""")(
     lambda spark, sf: enrich.summarize(documents(spark, sf).select("doc_id", F.col("text").alias("ementa")), key="doc_id"))
 
 

@@ -655,8 +655,8 @@ def _newest_first(spark, sf):
     folder = scratch_path(spark, "events")
     events = load(spark, sf, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), F.dayofmonth("ts").alias("d"))
     for part in (F.col("d") > 20, F.col("d").between(11, 20), F.col("d") <= 10):
-        events.where(part).drop("d").coalesce(1).write.mode("append").json(folder)
-    rows = spark.readStream.schema("event_id BIGINT, ts STRING").option("maxFilesPerTrigger", 1).json(folder)
+        events.where(part).drop("d").write.mode("append").json(folder)
+    rows = spark.readStream.schema("event_id BIGINT, ts STRING").option("maxFilesPerTrigger", 8).json(folder)
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from civicspark.plans import analytics as A, research as R, views as V
+from pyspark.sql import functions as F
 
+from civicspark.operators import upsert as ups
+from civicspark.plans import analytics as A, research as R, rollup, views as V
+from civicspark.session import scratch_path
+from civicspark.sources import store
+from civicspark.sources.store import StarStore
+from civicspark.streaming import refresh
+
+from . import standins
 from .registry import query, view
 from .standins import AS_OF, REF_YEAR, load, table, tables
 
@@ -342,3 +350,81 @@ query("x3_days_to_archive", """
         load(spark, sf, "lineitem").selectExpr(
             "l_orderkey AS proposicao_id", "l_shipdate AS data",
             "CASE WHEN l_returnflag = 'R' THEN 'Arquivada' ELSE 'Em tramitacao' END AS situacao")))
+
+
+def _filled_store(spark, sf, width=10_000):
+    """The stand-ins of the heatmap in a store of many key ranges."""
+    t, st = standins.tables(spark, sf), StarStore(spark, scratch_path(spark, "star"), range_width=width)
+    with st.begin() as one:
+        for name in ("dim_partidos", "dim_deputados", "dim_temas"):
+            one.write(name, t[name])
+        one.write("fato_proposicoes", t["fato_proposicoes"].select("proposicao_id", "data_apresentacao", "tipo", "ementa", "tema_id"))
+        one.write("ponte_proposicao_autores", t["ponte_proposicao_autores"])
+    return st
+
+
+_MOVED = """WITH moved AS (SELECT proposicao_id, CASE WHEN proposicao_id % 5 = 1 THEN NULL
+      WHEN proposicao_id BETWEEN 5000 AND 25000 THEN 1 ELSE tema_id END AS tema_id FROM fato_proposicoes) """
+
+
+@query("st3_view_refresh", _MOVED + _HEATMAP.replace("fato_proposicoes", "moved"))
+def _st3_refresh(spark, sf):
+    """V24 kept up to date over two loads that move propositions between themes, each replayed."""
+    st = _filled_store(spark, sf)
+    refresh.refresh(st)
+    for where, theme in (("proposicao_id BETWEEN 5000 AND 25000", F.lit(1)), ("proposicao_id % 5 = 1", F.lit(None))):
+        moved = st.read("fato_proposicoes").where(where).select("proposicao_id", theme.cast("int").alias("tema_id"))
+
+        def move(one, moved=moved):
+            touched = one.read("fato_proposicoes", one.touched("fato_proposicoes", moved))
+            one.write("fato_proposicoes", ups.set_values(touched, moved, ["tema_id"]))
+            refresh.refresh(one)
+
+        for _ in range(2):
+            store.atomic(st, move)
+    return refresh.heatmap_tema_partido(st)
+
+
+@query("st3_quality_refresh", """
+    SELECT 'proposicoes_sem_tema' AS metrica, count(*) FILTER (WHERE tema_id IS NULL OR proposicao_id % 5 = 1) AS valor, count(*) AS total FROM fato_proposicoes
+    UNION ALL SELECT 'proposicoes_sem_resumo', count(*), count(*) FROM fato_proposicoes
+    UNION ALL SELECT 'proposicoes_sem_autor', count(*), count(*) FROM fato_proposicoes
+    UNION ALL SELECT 'votacoes_sem_proposicao', 0, 0 UNION ALL SELECT 'votacoes_sem_votos', 0, 0""")
+def _st3_quality(spark, sf):
+    """V23 after a load that takes themes away: partial rows of the touched ranges are replaced."""
+    st = _filled_store(spark, sf)
+    refresh.refresh(st)
+    moved = st.read("fato_proposicoes").where("proposicao_id % 5 = 1").select("proposicao_id", F.lit(None).cast("int").alias("tema_id"))
+    st.write("fato_proposicoes", ups.set_values(st.read("fato_proposicoes"), moved, ["tema_id"]))
+    refresh.refresh(st)
+    return refresh.data_quality(st)
+
+
+@query("u12_atomic_load", """
+    SELECT 'dim_partidos' AS tabela, count(*) AS linhas, 3 AS cargas FROM dim_partidos UNION ALL SELECT 'dim_deputados', count(*), 3 FROM dim_deputados
+    UNION ALL SELECT 'dim_temas', count(*), 3 FROM dim_temas UNION ALL SELECT 'fato_proposicoes', count(*), 3 FROM fato_proposicoes""")
+def _u12_atomic(spark, sf):
+    """A load of three tables during which another one is published: it fails cleanly, is run again, and nothing is lost."""
+    t, root, tries = standins.tables(spark, sf), scratch_path(spark, "star"), []
+    st, other = StarStore(spark, root), StarStore(spark, root)
+    st.write("dim_partidos", t["dim_partidos"])
+
+    def job(one):
+        tries.append(one.base.number)
+        for name in ("dim_deputados", "fato_proposicoes"):
+            one.write(name, t[name].drop("embedding"))
+        if len(tries) == 1:
+            other.write("dim_temas", t["dim_temas"])
+
+    store.atomic(st, job)
+    counts = store.row_counts({n: st.read(n) for n in ("dim_partidos", "dim_deputados", "dim_temas", "fato_proposicoes")})
+    return counts.withColumn("cargas", F.lit(st.manifest().number))
+
+
+@query("a2_heatmap_of_year", f"""WITH dated AS (SELECT * FROM fato_proposicoes WHERE data_apresentacao BETWEEN DATE '2000-01-01' AND DATE '2000-12-31')
+    SELECT sigla_partido, tema_id, qtd_proposicoes, qtd_deputados_autores FROM ({_HEATMAP.replace("fato_proposicoes", "dated")})""")
+def _a2(spark, sf):
+    """Distinct propositions and authors of a year from the bitmaps of its months, without the facts."""
+    path = scratch_path(spark, "months")
+    rollup.monthly_authorship(standins.tables(spark, sf)).write.parquet(path)
+    return rollup.authorship_of(spark.read.parquet(path), "2000-01-01", "2000-12-31")

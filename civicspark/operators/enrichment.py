@@ -13,27 +13,26 @@ from ..functions.text import theme_text
 from ..sources import costlog
 from ..sources.store import StarStore
 from . import enrich, upsert as ups
-from .load import append_errors, stage
+from .load import append_errors, stage, stage_observed
 
 EMBED_MODEL, CHAT_MODEL = "hashed-1536", "offline-summary"
 
 
 def _save(store: StarStore, results: DataFrame, column: str) -> int:
     """Write one model column back by proposition id; returns the rows written."""
-    done = stage(results.where(F.col(column).isNotNull()).select("proposicao_id", column), f"enriched-{column}")
-    rows = done.count()
-    if rows:
+    found = results.where(F.col(column).isNotNull()).select("proposicao_id", column)
+    done, seen = stage_observed(found, f"enriched-{column}", rows=F.count(F.lit(1)))
+    if seen["rows"]:
         stored = store.read("fato_proposicoes", store.touched("fato_proposicoes", done))
         store.write("fato_proposicoes", ups.set_values(stored, done, [column]))
-    return rows
+    return seen["rows"]
 
 
-def _log_errors(store: StarStore, results: DataFrame, step: str, now: Column) -> int:
-    failed = results.where(F.col("erro").isNotNull())
-    rows = failed.count()
-    if rows:
+def _log_errors(store: StarStore, results: DataFrame, failures: int, step: str, now: Column) -> int:
+    if failures:
+        failed = results.where(F.col("erro").isNotNull())
         append_errors(store, ups.error_rows(failed, step, "proposicao", F.col("proposicao_id"), F.col("erro"), now))
-    return rows
+    return failures
 
 
 def theme_vectors(themes: DataFrame, encoder: enrich.Encoder | None) -> DataFrame:
@@ -64,8 +63,8 @@ def run(
         vectors = enrich.hashed_embedding(texts, "texto").select("proposicao_id", "embedding", "tokens", F.lit(None).cast("string").alias("erro"))
     else:
         vectors = enrich.embed(pending, encoder)
-    vectors = stage(vectors, "vectors")
-    counts["falhas_vetor"] = _log_errors(store, vectors, "embedding", now)
+    vectors, seen = stage_observed(vectors, "vectors", failures=F.count("erro"))
+    counts["falhas_vetor"] = _log_errors(store, vectors, seen["failures"], "embedding", now)
     counts["vetores"] = _save(store, vectors, "embedding")
     if counts["vetores"]:
         costlog.append(costlog.embed_entry(vectors, day, embed_model), cost_path)
@@ -75,8 +74,9 @@ def run(
     counts["temas"] = _save(store, enrich.classify(waiting, themes, threshold), "tema_id")
 
     todo = enrich.pending_summary(store.read("fato_proposicoes"), limit)
-    summaries = stage(enrich.summarize(todo, generator, prompt=generator is not enrich.offline_generator), "summaries")
-    counts["falhas_resumo"] = _log_errors(store, summaries, "resumo", now)
+    summaries, seen = stage_observed(
+        enrich.summarize(todo, generator, prompt=generator is not enrich.offline_generator), "summaries", failures=F.count("erro"))
+    counts["falhas_resumo"] = _log_errors(store, summaries, seen["failures"], "resumo", now)
     counts["resumos"] = _save(store, summaries, "resumo_executivo")
     if counts["resumos"]:
         costlog.append(costlog.summary_entry(summaries, day, chat_model), cost_path)

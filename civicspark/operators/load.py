@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import uri
 from ..session import scratch_path
 from ..sources import envelopes as env
 from ..sources.datasets import DATASETS
 from ..sources.seeds import themes
-from ..sources.store import StarStore
+from ..sources.store import StarStore, atomic
 from . import bridges, transforms, upsert as ups
 
-# A staged batch up to this many bytes (as JSON text, an upper bound of its
-# in-memory form) is broadcast; a larger one is merged by a shuffle join.
+# A staged batch up to this many bytes (measured by the job that writes it) is
+# broadcast; a larger one is merged by a shuffle join.
 SMALL_BATCH_BYTES = 64 * 1024 * 1024
 
 # Parents before children.
@@ -25,29 +25,42 @@ CORE_ORDER = ("dim_partidos", "dim_deputados", "fato_proposicoes", "fato_votacoe
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the batch once to the shared folder and read it back: the load
     then depends on a stored table, not on recomputing the raw files."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage_observed(df, label)[0]
 
 
-def measure(batch: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of a staged batch."""
-    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*batch.columns)))), F.lit(0))
-    row = batch.agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
-    return row["n"], row["b"]
+def stage_observed(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stage``, with aggregates of the batch taken by the job that writes it."""
+    path, seen = scratch_path(df.sparkSession, label), Observation()
+    out = df.observe(seen, *[F.coalesce(m, F.lit(0)).cast("bigint").alias(name) for name, m in metrics.items()]) if metrics else df
+    out.write.parquet(path)
+    found = seen.get if metrics else {}
+    return df.sparkSession.read.schema(df.schema).parquet(path), {name: found.get(name) or 0 for name in metrics}
+
+
+def width(df: DataFrame) -> Column:
+    """Bytes of a row in memory, about: lengths of texts, eight for each number, nested values as text."""
+    parts = []
+    for f in df.schema.fields:
+        col, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("string", "binary"):
+            parts.append(F.octet_length(col))
+        elif kind in ("array", "map", "struct"):
+            flat = kind == "array" and f.dataType.elementType.typeName() in ("float", "double", "integer", "long")
+            parts.append(8 * F.greatest(F.size(col), F.lit(0)) if flat else F.octet_length(F.to_json(F.struct(col))))
+        else:
+            parts.append(F.lit(8))
+    return reduce(lambda x, y: x + y, [F.coalesce(p, F.lit(0)).cast("bigint") for p in parts])
 
 
 def apply_batch(store: StarStore, table: str, batch: DataFrame, now: Column, *, order=None) -> int:
     """Upsert one batch into a table; returns the rows of the batch."""
-    staged = stage(batch, f"batch-{table}")
-    rows, size = measure(staged)
-    if rows == 0:
+    staged, seen = stage_observed(batch, f"batch-{table}", rows=F.count(F.lit(1)), size=F.sum(width(batch)))
+    if seen["rows"] == 0:
         return 0
-    small = size <= SMALL_BATCH_BYTES
     stored = store.read(table, store.touched(table, staged))
-    merged = ups.upsert(stored, staged, ups.POLICIES[table], now, order=order, batch_is_small=small)
+    merged = ups.upsert(stored, staged, ups.POLICIES[table], now, order=order, batch_is_small=seen["size"] <= SMALL_BATCH_BYTES)
     store.write(table, merged)
-    return rows
+    return seen["rows"]
 
 
 def append_errors(store: StarStore, errors: DataFrame) -> None:
@@ -91,7 +104,11 @@ def unreadable_listings(spark: SparkSession, raw_dir: str, now: Column, *, multi
 def load_core(
     store: StarStore, raw_dir: str, now: Column, *, with_expenses: bool = False, multi_line: bool | None = None
 ) -> dict[str, int]:
-    """Ordered load of the core tables; expenses only when asked for."""
+    """Ordered load of the core tables; expenses only when asked for. All tables become visible together."""
+    return atomic(store, lambda load: _load_core(load, raw_dir, now, with_expenses, multi_line))
+
+
+def _load_core(store: StarStore, raw_dir: str, now: Column, with_expenses: bool, multi_line: bool | None) -> dict[str, int]:
     spark = store.spark
     errors = stage(unreadable_listings(spark, raw_dir, now, multi_line=multi_line), "unreadable")
     if not errors.isEmpty():
@@ -120,7 +137,13 @@ def load_authorship(
     store: StarStore, raw_dir: str, now: Column, *, limit: int | None = None,
     proposicao_id: int | None = None, multi_line: bool | None = None,
 ) -> dict[str, int]:
-    """Authorship job over the landed author documents."""
+    """Authorship job over the landed author documents: bridge, flags and errors become visible together."""
+    return atomic(store, lambda load: _load_authorship(load, raw_dir, now, limit, proposicao_id, multi_line))
+
+
+def _load_authorship(
+    store: StarStore, raw_dir: str, now: Column, limit: int | None, proposicao_id: int | None, multi_line: bool | None
+) -> dict[str, int]:
     props = store.read("fato_proposicoes")
     targets = stage(bridges.pending_authorship(props, limit, proposicao_id), "targets")
     fetched, rows = bridges.fetched_items(store.spark, raw_dir, "proposicoes_autores", multi_line=multi_line)
@@ -129,7 +152,6 @@ def load_authorship(
     flags = stage(job["flags"], "flags")
     append_errors(store, job["errors"])
     apply_batch(store, "ponte_proposicao_autores", job["ponte"], now)
-    # last, so that an interrupted run leaves the items pending
     stored = store.read("fato_proposicoes", store.touched("fato_proposicoes", flags))
     store.write("fato_proposicoes", ups.set_author_flags(stored, flags))
     return counters
@@ -139,7 +161,13 @@ def load_roll_calls(
     store: StarStore, raw_dir: str, now: Column, *, limit: int | None = None,
     votacao_id: str | None = None, multi_line: bool | None = None,
 ) -> dict[str, int]:
-    """Roll-call job over the landed vote documents."""
+    """Roll-call job over the landed vote documents: votes, links, flags and errors become visible together."""
+    return atomic(store, lambda load: _load_roll_calls(load, raw_dir, now, limit, votacao_id, multi_line))
+
+
+def _load_roll_calls(
+    store: StarStore, raw_dir: str, now: Column, limit: int | None, votacao_id: str | None, multi_line: bool | None
+) -> dict[str, int]:
     votings = store.read("fato_votacoes")
     targets = stage(bridges.pending_votes(votings, limit, votacao_id), "targets")
     fetched, rows = bridges.fetched_items(store.spark, raw_dir, "votacoes_votos", multi_line=multi_line)

@@ -65,7 +65,7 @@ def _deputies_with_party(t: Tables) -> DataFrame:
     return t["dim_deputados"].select("deputado_id", "nome", "uf", "partido_id").join(parties, "partido_id", "left")
 
 
-def _authors_with_party(t: Tables, *columns: str) -> DataFrame:
+def authors_with_party(t: Tables, *columns: str) -> DataFrame:
     """Bridge rows with ``sigla_partido`` and ``partido``: the party that
     signed, else the party of the deputy who did. Unresolvable authors
     (committees, executive, unknown deputies) are left out."""
@@ -238,7 +238,7 @@ def deputados_por_uf(t: Tables) -> DataFrame:
 
 
 def proposicoes_por_partido_autor(t: Tables) -> DataFrame:
-    rows = _authors_with_party(t)
+    rows = authors_with_party(t)
     return rows.groupBy(F.col("sigla_partido").alias("sigla")).agg(F.count_distinct("proposicao_id").alias("qtd"))
 
 
@@ -286,10 +286,15 @@ def _two_distinct(rows: DataFrame, keys: list[str], first: str, second: str, nam
 
 def heatmap_tema_partido(t: Tables) -> DataFrame:
     facts = t["fato_proposicoes"].select("proposicao_id", "tema_id")
-    rows = _authors_with_party(t).join(facts, "proposicao_id")
+    rows = authors_with_party(t).join(facts, "proposicao_id")
     # counted per theme id first: the theme names join a handful of rows
     counts = _two_distinct(rows, ["sigla_partido", "tema_id"], "proposicao_id", "deputado_id",
                            ("qtd_proposicoes", "qtd_deputados_autores"))
+    return with_theme(counts, t)
+
+
+def with_theme(counts: DataFrame, t: Tables) -> DataFrame:
+    """Cells of the heatmap with the names of their themes."""
     return counts.join(_theme_columns(t), "tema_id", "left").select(
         "sigla_partido",
         F.coalesce("tema", F.lit(NO_THEME)).alias("tema"),
@@ -324,7 +329,7 @@ def proposicoes_por_deputado(t: Tables) -> DataFrame:
 
 def proposicoes_por_partido(t: Tables) -> DataFrame:
     known = t["fato_proposicoes"].select("proposicao_id")
-    rows = _authors_with_party(t, "proponente").join(known, "proposicao_id")
+    rows = authors_with_party(t, "proponente").join(known, "proposicao_id")
     signed = rows.withColumn("qtd_proponente", F.coalesce(F.col("proponente").cast("long"), F.lit(0)))
     return _two_distinct(signed, ["partido_id", "sigla_partido"], "proposicao_id", "deputado_id",
                          ("qtd_proposicoes", "qtd_deputados_autores"), "qtd_proponente")

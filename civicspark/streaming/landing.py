@@ -15,7 +15,7 @@ from ..operators import load, transforms
 from ..session import shared_folder
 from ..sources import envelopes as env
 from ..sources.datasets import DATASETS
-from ..sources.store import StarStore
+from ..sources.store import StarStore, atomic
 
 # Epoch day 0 is a Thursday: weeks start four days later, on a Monday.
 WEEK_START = "4 days"
@@ -56,7 +56,7 @@ def load_increment(
     stream = stream_records(store.spark, raw_dir, "proposicoes", max_files=max_files, multi_line=multi_line)
 
     def apply(batch: DataFrame, _: int) -> None:
-        load.apply_batch(store, "fato_proposicoes", transforms.proposicoes(batch), now)
+        atomic(store, lambda one: load.apply_batch(one, "fato_proposicoes", transforms.proposicoes(batch), now))
         if after:
             after(store)
 
