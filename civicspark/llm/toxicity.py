@@ -21,9 +21,9 @@ from .common import keep
 #: Lengths of n-grams, bits of a bucket number, rows of each class that the model is fitted on.
 ORDERS, BITS, SAMPLE_ROWS = (4, 6, 8), 20, 1200
 #: Bytes of features (four each) that the driver fits on at most, half of them of each class.
-SAMPLE_BYTES = 64 << 20
-#: Texts of the sample that a feature must occur in.
-LEAST = 5
+SAMPLE_BYTES = 32 << 20
+#: Texts of the sample that a feature must occur in, and how far its log-count ratio must be from zero (a factor of two).
+LEAST, TELLING = 5, 0.69
 ROUNDS, PENALTY, SMOOTHING = 40, 1e-3, 1.0
 THRESHOLD = 0.7
 #: Features that the fit handles at a time.
@@ -104,8 +104,7 @@ def fit_rows(ids: np.ndarray, lengths: np.ndarray, toxic: np.ndarray) -> Model:
         out[some] = summed(values, ids, starts)
         return out
 
-    ratio = (np.log((spread(toxic) + SMOOTHING) / (toxic.sum() + 2 * SMOOTHING))
-             - np.log((spread(1 - toxic) + SMOOTHING) / ((1 - toxic).sum() + 2 * SMOOTHING)))
+    ratio = log_ratio(spread(toxic), spread(1 - toxic), toxic.sum(), (1 - toxic).sum())
     weight = np.where(toxic > 0, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / n  # both classes count alike
     # steps are as long as the largest row allows
     step = 4.0 / max(1.0, np.percentile(gathered(ratio ** 2), 95)) * n ** 0.5
@@ -139,12 +138,17 @@ def _sampled():
 
 
 def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    count = np.zeros(1 << BITS, np.int64)
+    counts = np.zeros((2, 1 << BITS), np.int32)
     for batch in batches:
-        for row in batch.column("features"):
-            count[np.frombuffer(row.as_buffer(), "<i4")] += 1
-    some = np.flatnonzero(count)
-    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(count[some])], ["bucket", "n"])
+        for y, row in zip(batch.column("toxic").to_pylist(), batch.column("features")):
+            counts[y, np.frombuffer(row.as_buffer(), "<i4")] += 1
+    some = np.flatnonzero(counts.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some.astype(np.int32), *counts[:, some])], ["bucket", "n0", "n1"])
+
+
+def log_ratio(toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float) -> np.ndarray:
+    """Logarithm of the share of toxic texts with a feature over that of other texts, smoothed."""
+    return np.log((toxic + SMOOTHING) / (n_toxic + 2 * SMOOTHING)) - np.log((other + SMOOTHING) / (n_other + 2 * SMOOTHING))
 
 
 def _only(known: np.ndarray):
@@ -162,7 +166,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
 
     Of each class the ``sample_rows`` ids of the smallest hash are used, whole texts (of a
     repeated id the smallest), as far as their features fit into ``sample_bytes``.
-    Features of fewer than ``LEAST`` of these texts are left out. Labels other than 0 and 1, null ids and repeated
+    Features of fewer than ``LEAST`` of these texts are left out, and those of nearly equal
+    shares in both classes, whose scale is near zero. Labels other than 0 and 1, null ids and repeated
     ids with both labels are left aside.
     """
     clear = (
@@ -178,9 +183,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen[0].union(chosen[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     sample = keep(texts.select("toxic", "text").mapInArrow(_sampled(), "toxic int, features binary"), "sample")
+    shared = sample.mapInArrow(_bucket_counts, "bucket int, n0 int, n1 int").groupBy("bucket").agg(
+        F.sum("n0").cast("int").alias("n0"), F.sum("n1").cast("int").alias("n1")).where(F.col("n0") + F.col("n1") >= LEAST).toArrow()
+    texts_of = dict(sample.groupBy("toxic").count().collect())
+    bucket, n0, n1 = (shared.column(c).to_numpy() for c in ("bucket", "n0", "n1"))  # at most 2^BITS
     known = np.zeros(1 << BITS, bool)
-    shared = sample.mapInArrow(_bucket_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-    known[shared.select("bucket").toArrow().column("bucket").to_numpy()] = True
+    known[bucket[np.abs(log_ratio(n1, n0, texts_of.get(1, 0), texts_of.get(0, 0))) >= TELLING]] = True
+    del shared, bucket, n0, n1
     told = keep(sample.mapInArrow(_only(known), "toxic int, features binary").withColumn("draw", F.xxhash64("features")), "shared-features")
     # a row for each text of the sample
     so_far = Window.partitionBy("toxic").orderBy("draw").rowsBetween(Window.unboundedPreceding, 0)
