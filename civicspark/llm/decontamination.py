@@ -6,15 +6,22 @@ shared weight over the united weight, a shingle weighing as often as it occurs.
 
 1. Only places that share enough shingles with an item can hold such a window. With
    m and k shingles a similarity of 0.8 takes (m + k) * 4/9 common ones, so windows are
-   placed where that many of a document's shingles are an item's; no window is lost.
+   placed where that many of a document's shingles are an item's; no window is lost,
+   and a window knows the items that it was placed for.
 2. Windows with equal content are merged. Each gets a 64-bit SimHash of its shingles.
-3. Multi-index Hamming search: the fingerprint is cut into radius + 1 blocks, windows and
-   items of one size that agree in a block are candidates, so all within the radius are.
+3. Multi-index Hamming search: the fingerprint is cut into radius + 1 blocks; windows are
+   candidates of an item of theirs if they agree in a block, so all within the radius are.
+   A pair comes from the first block that agrees and leaves the join once.
 4. The exact similarity of every candidate decides.
+
+Fewer than five words are one shingle, the whole sequence: such an item matches windows
+of as many words with that shingle, whose fingerprint is the shingle's hash itself.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import keep
@@ -26,24 +33,26 @@ RADIUS = 24
 BROADCAST_SHINGLES = 1_000_000
 
 
-def _runs(hashes: Column) -> Column:
-    """Hashes of all runs of five words, in order; of fewer words none.
+def _runs(hashes: Column, width: int = SHINGLE) -> Column:
+    """Hashes of all runs of ``width`` words, in order; of fewer words none.
 
     No lambda refers to ``hashes``, so that a filter pushed below the projection, which
     repeats the expression, stays linear.
     """
-    n = F.greatest(F.size(hashes) - SHINGLE + 1, F.lit(0))
-    shifted = F.arrays_zip(*[F.slice(hashes, F.lit(k + 1), n).alias(f"w{k}") for k in range(SHINGLE)])
-    return F.transform(shifted, lambda w: F.xxhash64(*[w[f"w{k}"] for k in range(SHINGLE)]))
+    n = F.greatest(F.size(hashes) - width + 1, F.lit(0))
+    shifted = F.arrays_zip(*[F.slice(hashes, F.lit(k + 1), n).alias(f"w{k}") for k in range(width)])
+    return F.transform(shifted, lambda w: F.xxhash64(*[w[f"w{k}"] for k in range(width)]))
+
+
+def _with_words(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the hashes of the words of the lower-case text in ``out``, instead of the text."""
+    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
+    return df.withColumn(out, F.transform(words, lambda w: F.xxhash64(w))).drop(text)
 
 
 def _with_shingles(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the shingle hashes of the lower-case text in ``out``, instead of the text."""
-    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
-    return (
-        df.withColumn("_hashes", F.transform(words, lambda w: F.xxhash64(w)))
-        .withColumn(out, _runs(F.col("_hashes"))).drop("_hashes", text)
-    )
+    return _with_words(df, text, "_hashes").withColumn(out, _runs(F.col("_hashes"))).drop("_hashes")
 
 
 def fingerprint(grams: Column) -> Column:
@@ -58,13 +67,20 @@ def fingerprint(grams: Column) -> Column:
     return out
 
 
+def _bits(print_: Column, radius: int) -> list[Column]:
+    """The bits of each of radius + 1 blocks."""
+    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
+    return [F.shiftrightunsigned(print_, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:])]
+
+
 def _blocks(print_: Column, radius: int) -> Column:
     """(block number, bits of the block) of radius + 1 blocks."""
-    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return F.array(*[
-        F.struct(F.lit(i).alias("block"),
-                 F.shiftrightunsigned(print_, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("bits"))
-        for i, (a, b) in enumerate(zip(edges, edges[1:]))])
+    return F.array(*[F.struct(F.lit(i).alias("block"), x.alias("bits")) for i, x in enumerate(_bits(print_, radius))])
+
+
+def _first_equal(differing: Column, radius: int) -> Column:
+    """Number of the first block in which ``differing`` has no bit; null if every block has one."""
+    return F.coalesce(*[F.when(x == 0, F.lit(i)) for i, x in enumerate(_bits(differing, radius))])
 
 
 def common(a: Column, b: Column) -> Column:
@@ -83,20 +99,42 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """(item_id, grams): items of at least five words; the smallest id of items with equal shingles."""
-    found = _with_shingles(
-        benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")), "text", "grams")
-    return found.where((F.size("grams") > 0) & F.col("item_id").isNotNull())
+    """(item_id, item, size, words, grams): every item with a word, ``item`` naming its sequence of words.
+
+    Items of fewer than five words have size 0 and no grams. Equal rows are one item.
+    """
+    found = _with_words(
+        benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")), "text", "words")
+    return found.where(F.size("words") > 0).distinct().select(
+        "item_id", F.xxhash64("words").alias("item"), F.greatest(F.size("words") - SHINGLE + 1, F.lit(0)).alias("size"),
+        "words", _runs(F.col("words")).alias("grams"))
+
+
+def _bounded(item_grams: DataFrame) -> DataFrame:
+    """Broadcast if there are few enough."""
+    return F.broadcast(item_grams) if item_grams.count() <= BROADCAST_SHINGLES else item_grams
+
+
+def _short(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, doc, item, start, n_words): the first place of each item of fewer than five words in each document."""
+    lengths = sorted(r[0] for r in items.select(F.size("words")).distinct().collect())
+    wanted = _bounded(reduce(DataFrame.unionByName, [
+        items.where(F.size("words") == n).select("item", F.lit(n).alias("n_words"), F.explode(_runs(F.col("words"), n)).alias("gram"))
+        for n in lengths]).distinct())
+    runs = F.array(*[F.struct(F.lit(n).alias("n_words"), _runs(F.col("words"), n).alias("grams")) for n in lengths])
+    own = (
+        _with_words(docs, "text", "words").select("doc_id", "doc", F.explode(runs).alias("r"))
+        .select("doc_id", "doc", "r.n_words", F.posexplode("r.grams").alias("start", "gram"))
+    )
+    return own.join(wanted, ["n_words", "gram"]).groupBy("doc_id", "doc", "item", "n_words").agg(F.min("start").alias("start"))
 
 
 def _places(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, doc, size, start): windows of ``size`` shingles with enough shingles of an item of that size."""
-    item_grams = items.select("item_id", F.size("grams").alias("size"), F.explode(F.array_distinct("grams")).alias("gram"))
-    if item_grams.count() <= BROADCAST_SHINGLES:
-        item_grams = F.broadcast(item_grams)
+    """(doc_id, doc, item, size, width, start): windows of ``size`` shingles with enough shingles of an item of that size."""
+    item_grams = _bounded(items.select("item", "size", F.explode(F.array_distinct("grams")).alias("gram")))
     own = _with_shingles(docs, "text", "grams").select(
         "doc_id", "doc", F.size("grams").alias("n"), F.posexplode_outer("grams").alias("at", "gram"))
-    met = own.join(item_grams, "gram").groupBy("doc_id", "doc", "n", "item_id", "size").agg(
+    met = own.join(item_grams, "gram").groupBy("doc_id", "doc", "n", "item", "size").agg(
         F.sort_array(F.collect_set("at")).alias("at"))
     width = F.least("n", "size")
     met = met.withColumn("width", width).withColumn(
@@ -111,7 +149,7 @@ def _places(docs: DataFrame, items: DataFrame) -> DataFrame:
         .where("from <= to")
     )
     return fitting.select(
-        "doc_id", "doc", "size", "width", F.explode(F.sequence("from", "to")).alias("start")).distinct()
+        "doc_id", "doc", "item", "size", "width", F.explode(F.sequence("from", "to")).alias("start")).distinct()
 
 
 def leaks(
@@ -121,46 +159,60 @@ def leaks(
     """(doc_id, doc, item_id, start, n_words, differing_bits, similarity): the best window of each document and item.
 
     ``doc`` is the XXH64 of the text, ``start`` the window's first word. A document of
-    fewer words than an item is one window. Texts and items of fewer than five words,
-    null or empty ones have no shingle and match nothing; null item ids are left aside.
-    Rows that repeat id and text are one document, a null doc_id is kept as null. Other
-    columns are ignored.
+    fewer words than an item of five or more is one window. Null or empty texts and
+    items match nothing. Items with a null id are searched for like all others, and each
+    text of theirs is an item. Rows that repeat id and text are one document, a null
+    doc_id is kept as null. Other columns are ignored.
     """
     if similarity < SIMILARITY:
         raise ValueError("windows are placed for similarities of 0.8 or more")
     own, items = _identified(docs, id_col, text_col), keep(_items(benchmark), "items")
-    places = keep(_places(own, items), "places")
-    lists = places.groupBy("doc_id", "doc").agg(F.collect_list(F.struct("size", "width", "start")).alias("windows"))
+    # items of equal words are searched for once
+    long = items.where("size > 0").groupBy("item", "size").agg(F.first("grams").alias("grams"))
+    places = keep(_places(own, long), "places")
+    lists = places.groupBy("doc_id", "doc").agg(F.collect_list(F.struct("item", "size", "width", "start")).alias("windows"))
     same = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("doc") == F.col("_doc")]
     # the same join at every size: a broadcast of few windows would turn into a shuffle of all texts at some point
     texts = own.join(lists.withColumnsRenamed({"doc_id": "_id", "doc": "_doc"}).hint("merge"), same).select("doc_id", "doc", "text", "windows")
     found = keep(
         _with_shingles(texts, "text", "all").select("doc_id", "doc", "all", F.explode("windows").alias("w"))
-        .select("doc_id", "doc", "w.size", "w.start", F.slice("all", F.col("w.start") + 1, F.col("w.width")).alias("grams"))
+        .select("doc_id", "doc", "w.item", "w.size", "w.start", F.slice("all", F.col("w.start") + 1, F.col("w.width")).alias("grams"))
         .select("*", F.xxhash64("grams").alias("content")).distinct(), "windows")
-    contents = found.groupBy("size", "content").agg(F.first("grams").alias("grams"))
+    contents = found.groupBy("item", "content").agg(F.first("grams").alias("grams"))
     windows = keep(contents.withColumn("print", fingerprint(F.col("grams"))), "prints")
-    prints = items.select("item_id", F.size("grams").alias("size"), F.col("grams").alias("item_grams"),
-                          fingerprint(F.col("grams")).alias("item_print"))
-    pairs = (
-        windows.select("size", "content", "print", F.explode(_blocks(F.col("print"), radius)).alias("b"))
-        .join(prints.select("size", "item_id", "item_print", F.explode(_blocks(F.col("item_print"), radius)).alias("b")), ["size", "b"])
-        .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-        .groupBy("size", "content", "item_id")
-        .agg(F.first(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))).alias("differing_bits"))
-    )
+    prints = long.select("item", F.col("grams").alias("item_grams"), fingerprint(F.col("grams")).alias("item_print"))
+    left = windows.select("item", "content", "print", F.explode(_blocks(F.col("print"), radius)).alias("b")).alias("l")
+    right = prints.select("item", "item_print", F.explode(_blocks(F.col("item_print"), radius)).alias("b")).alias("r")
+    differing = F.col("print").bitwiseXOR(F.col("item_print"))
+    pairs = left.join(
+        right, (F.col("l.item") == F.col("r.item")) & (F.col("l.b") == F.col("r.b")) & (F.bit_count(differing) <= radius)
+        & (_first_equal(differing, radius) == F.col("l.b.block"))
+    ).select("l.item", "content", F.bit_count(differing).alias("differing_bits"))
     verified = (
-        pairs.join(windows.select("size", "content", "grams"), ["size", "content"])
-        .join(prints.select("item_id", "item_grams"), "item_id")
+        pairs.join(windows.select("item", "content", "grams"), ["item", "content"])
+        .join(prints.select("item", "item_grams"), "item")
         .withColumn("shared", common(F.col("grams"), F.col("item_grams")))
         .withColumn("similarity", F.col("shared") / (F.size("grams") + F.size("item_grams") - F.col("shared")))
         .where(F.col("similarity") >= similarity)
-        .select("size", "content", "item_id", "differing_bits", "similarity")
+        .select("item", "content", "differing_bits", "similarity")
     )
     best = F.max(F.struct("similarity", -F.col("start"), -F.col("differing_bits"), F.col("size") + SHINGLE - 1))
+    leaking = (
+        found.drop("grams").join(verified, ["item", "content"]).groupBy("doc_id", "doc", "item").agg(best.alias("best"))
+        .select("doc_id", "doc", "item", (-F.col("best")["col2"]).alias("start"), F.col("best")["col4"].alias("n_words"),
+                (-F.col("best")["col3"]).alias("differing_bits"), F.col("best")["similarity"].alias("similarity"))
+    )
+    short = items.where("size = 0")
+    if not short.isEmpty():
+        leaking = leaking.unionByName(_short(own, short).select(
+            "*", F.lit(0).alias("differing_bits"), F.lit(1.0).alias("similarity")))
+    # an id that several texts share is one item, its best window counts; each text without an id is one
+    nameless = F.when(F.col("item_id").isNull(), F.col("item"))
+    of_ids = F.max(F.struct("similarity", -F.col("start"), -F.col("differing_bits"), "n_words"))
     return (
-        found.drop("grams").join(verified, ["size", "content"]).groupBy("doc_id", "doc", "item_id").agg(best.alias("best"))
-        .select("doc_id", "doc", "item_id", (-F.col("best")["col2"]).alias("start"), F.col("best")["col4"].alias("n_words"),
+        leaking.join(items.select("item_id", "item"), "item")
+        .groupBy("doc_id", "doc", "item_id", nameless.alias("_nameless")).agg(of_ids.alias("best"))
+        .select("doc_id", "doc", "item_id", (-F.col("best")["col2"]).alias("start"), F.col("best")["n_words"].alias("n_words"),
                 (-F.col("best")["col3"]).alias("differing_bits"), F.col("best")["similarity"].alias("similarity"))
     )
 

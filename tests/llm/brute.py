@@ -85,6 +85,9 @@ def leaks(docs, items, k=5, least=0.8):
         for item_id, item in items:
             wanted = (item or "").lower().encode().split()
             if len(wanted) < k:
+                n = len(wanted)
+                if n and any(words[i:i + n] == wanted for i in range(len(words) - n + 1)):
+                    out.add((doc_id, item_id))
                 continue
             target = Counter(tuple(wanted[i:i + k]) for i in range(len(wanted) - k + 1))
             for s in range(max(1, len(words) - len(wanted) + 1)):

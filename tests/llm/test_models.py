@@ -101,7 +101,7 @@ def test_subword_pieces_change_nothing(monkeypatch):
 def leaky(seed):
     rng = random.Random(seed)
     items = [(i, " ".join(rng.choices("abcdefghij", k=rng.choice([3, 5, 8, 20, 30])))) for i in range(12)]
-    items += [(50, None), (51, ""), (52, "a a a a a a a a a a a a")]
+    items += [(50, None), (51, ""), (52, "a a a a a a a a a a a a"), (53, "Z"), (54, "k L"), (55, "l m n"), (56, "k l m n"), (57, "absent")]
     docs = []
     for i in range(60):
         words = rng.choices("klmnopqrst", k=rng.randint(0, 40))
@@ -122,7 +122,9 @@ def test_leaks_against_all_windows(spark, seed):
     found = decontamination.leaks(frame, benchmark).collect()
     want = brute.leaks(docs, items)
     got = {(r.doc_id, r.item_id) for r in found}
-    assert got <= want and len(got) >= 0.97 * len(want) and len(want) > 10
+    few = {i for i, t in items if len((t or "").split()) < 5}
+    assert got <= want and len(got) >= 0.97 * len(want) and {p for p in want if p[1] in few} <= got
+    assert sum(i not in few for _, i in want) > 10 < sum(i in few for _, i in want)
     kept = decontamination.clean(frame, benchmark)
     assert kept.columns == frame.columns and {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in got}
 
@@ -130,10 +132,15 @@ def test_leaks_against_all_windows(spark, seed):
 def test_leaks_odd_rows(spark):
     text = "one two three four five six seven"
     docs = spark.createDataFrame([(1, text), (1, text), (1, "other words"), (None, text), (4, text.upper())], DOC)
-    items = spark.createDataFrame([(7, text), (8, text), (None, text), (9, "one two three")], "item_id long, text string")
+    items = spark.createDataFrame([(7, text), (8, text), (None, text), (None, "six"), (8, "two THREE"), (9, "three two"), (None, "")],
+                                  "item_id long, text string")
     found = decontamination.leaks(docs, items).collect()
-    assert sorted(((r.doc_id, r.item_id) for r in found), key=repr) == [(1, 7), (1, 8), (4, 7), (4, 8), (None, 7), (None, 8)]
+    assert sorted(((r.doc_id, r.item_id) for r in found), key=repr) == sorted(
+        ((d, i) for d in (1, 4, None) for i in (7, 8, None, None)), key=repr)
+    assert {(r.item_id, r.start, r.n_words) for r in found} == {(7, 0, 7), (8, 0, 7), (None, 0, 7), (None, 5, 1)}
     assert [r.text for r in decontamination.clean(docs, items).collect()] == ["other words"]
+    assert decontamination.clean(docs, items.where("item_id is null and text = 'six'")).count() == 1
+    assert decontamination.clean(docs, items.where("item_id = 9")).count() == docs.count()
     assert decontamination.leaks(docs.where("false"), items).count() == decontamination.leaks(docs, items.where("false")).count() == 0
 
 

@@ -175,96 +175,6 @@ def test_blocks_of_a_cell_are_dealt_to_all_tasks(spark):
     assert re.search(r"hashpartitioning\(dim#\d+, cell#\d+, _i#\d+, _j#\d+", plan)
 
 
-@pytest.mark.parametrize("small", [0, 64])
-def test_simhash_all_pairs(spark, small, monkeypatch):
-    """Both ways through a cell give the components of all pairs."""
-    monkeypatch.setattr(simhash, "SMALL_CELL", small)
-    monkeypatch.setattr(simhash.links, "__defaults__", (simhash.RADIUS, small))
-    docs = near_copies() + [(900, None), (901, ""), (902, "  \t\n"), (903, "One"), (904, "oNE  "), (905, "One two")]
-    found = simhash.near_duplicates(spark.createDataFrame(docs, DOC)).collect()
-    got = {r.doc_id: ("%016x" % (r.fingerprint % 2 ** 64), r.component_id) for r in found}
-    assert got == expected_simhash(docs)
-    assert got[901][1] == 900 and got[904][1] == 903
-
-
-def test_simhash_query_is_the_brute_force(spark):
-    docs = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
-    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.QUERIES["op5_simhash_near_dedup"](spark, SF_DIR).collect()}
-    assert got == expected_simhash(docs)
-
-
-def test_simhash_odd_rows(spark):
-    docs = spark.createDataFrame([(None, "a b c d", 1), (5, "a b c d", 2), (5, "a b c d", 3), (7, None, 4)],
-                                 DOC + ", fp int").withColumn("node", F.lit("x"))
-    got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()), key=repr)
-    assert got == [(5, 5), (5, 5), (7, 7), (None, 5)]
-    assert simhash.near_duplicates(docs.where("false")).count() == 0
-
-
-def test_manhattan_never_exceeds_hamming(spark):
-    rng = random.Random(3)
-    pairs = [(rng.getrandbits(64) - 2 ** 63, rng.getrandbits(64) - 2 ** 63) for _ in range(300)]
-    found = spark.createDataFrame(pairs, "a long, b long").select(
-        "a", "b", F.bit_count(simhash.unary_counts(F.col("a")).bitwiseXOR(simhash.unary_counts(F.col("b")))).alias("m")).collect()
-    for r in found:
-        a, b = r.a % 2 ** 64, r.b % 2 ** 64
-        counts = sum(abs((a >> s & 3).bit_count() - (b >> s & 3).bit_count()) for s in range(0, 64, 2))
-        assert r.m == counts <= (a ^ b).bit_count()
-
-
-def test_components_of_chain_star_and_loops(spark):
-    links = [(i, i + 1) for i in range(60)] + [(500, i) for i in range(501, 700)] + [(9000, 9000), (None, 3)]
-    got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
-    assert got == {i: 0 for i in range(61)} | {i: 500 for i in range(500, 700)}
-    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
-def test_labels_are_smallest_reachable():
-    rng = np.random.default_rng(0)
-    near = rng.random((80, 80)) < 0.015
-    near |= near.T
-    assert blocks.labels(near).tolist() == brute.groups(80, lambda i, j: near[i, j])
-
-
-def vectors(seed=0):
-    rng, out = np.random.default_rng(seed), []
-    for _ in range(40):
-        base = rng.normal(size=16)
-        for k in range(int(rng.integers(1, 9))):
-            out.append((base + k * 0.05 * rng.normal(size=16)).tolist())
-    return [(i, v) for i, v in enumerate(out)]
-
-
-def test_embeddings_against_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(embeddings, "block_pairs", lambda *a: blocks.block_pairs(*a, side=16))
-    rows = vectors() + [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [1.0, None]), (904, [])]
-    rows += [(905, rows[0][1]), (906, [2 * x for x in rows[0][1]]), (907, [1.0, 2.0]), (908, [1.0, 2.01]), (None, rows[0][1])]
-    found = embeddings.near_duplicates(
-        spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("cell", F.lit(1)), cell_rows=30, visits=None)
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found.collect()}
-    fit = [(i, np.array(v)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
-
-    def near(i, j):
-        a, b = fit[i][1], fit[j][1]
-        return len(a) == len(b) and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= 0.95
-
-    roots = brute.groups(len(fit), near)
-    want = {i: (0, i, True) for i, _ in rows} | {
-        fit[i][0]: (sum(near(i, j) for j in range(len(fit)) if j != i), fit[roots[i]][0], roots[i] == i) for i in range(len(fit))}
-    want[None] = (0, None, False)
-    assert got == want
-
-
-def test_embedding_recall_and_empty(spark):
-    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    unit = np.array([r[0] for r in rows.orderBy("vec_id").select("embedding").collect()], float)
-    unit /= np.linalg.norm(unit, axis=1)[:, None]
-    near = unit @ unit.T >= 0.95
-    want, got = near.sum() - len(unit), embeddings.near_duplicates(rows).agg(F.sum("n_links")).first()[0]
-    assert 0.99 * want <= got <= want
-    assert embeddings.near_duplicates(rows.where("false")).count() == 0
-
-
 @pytest.mark.parametrize("small", [0, 128])
 def test_similar_texts_against_all_pairs(spark, small, monkeypatch):
     monkeypatch.setattr(similar_texts, "SMALL_CELL", small)
