@@ -15,51 +15,63 @@ FIRST_YEAR = 1990
 COVERAGE_GOALS = {"embedding": 80.0, "tema": 70.0, "resumo": 80.0}
 
 
-def _report(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
-    """All row rules of a table in one pass: (tabela, regra, violacoes)."""
-    counted = df.agg(*[F.count_if(F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()])
-    pairs = ", ".join(f"'{name}', `{name}`" for name in rules)
-    return counted.select(F.expr(f"stack({len(rules)}, {pairs}) as (regra, violacoes)")).select(
-        F.lit(table).alias("tabela"), "regra", "violacoes"
-    )
-
+def _row_rules(table: str, have: set[str]) -> dict[str, Column]:
+    """NOT NULL and CHECK rules of the columns that a table has; true where broken."""
+    rules = {f"nulo_{c}": F.col(c).isNull() for c in schemas.required_columns(table) if c in have}
+    if table == "fato_despesas" and "valor_documento" in have:
+        rules["valor_positivo"] = F.col("valor_documento") <= 0
+    return rules
 
-def duplicate_keys(df: DataFrame, table: str, keys: tuple[str, ...]) -> DataFrame:
-    """Surplus rows over the primary key."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint")
-    return groups.agg(surplus.alias("violacoes")).select(
-        F.lit(table).alias("tabela"), F.lit("pk").alias("regra"), "violacoes"
-    )
 
-
-def missing_parents(child: DataFrame, table: str, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    keys = parent.select(F.col(parent_key).alias(column))
-    orphans = child.where(F.col(column).isNotNull()).select(column).join(keys, column, "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("violacoes")).select(
-        F.lit(table).alias("tabela"), F.lit(f"fk_{column}").alias("regra"), "violacoes"
-    )
+def _entry(table: str, rule: str, key: Column, parent: bool = False) -> Column:
+    return F.struct(F.lit(table).alias("tabela"), F.lit(rule).alias("regra"), key.cast("string").alias("chave"), F.lit(parent).alias("pai"))
 
 
 def check_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """NOT NULL, CHECK, primary and foreign keys of every given table."""
-    parts = []
+    """(tabela, regra, violacoes): NOT NULL, CHECK, primary and foreign keys of every given table.
+
+    Each table is scanned once. A row yields an entry (table, rule, key) for each row
+    rule that it breaks, for its primary key, for each foreign key that is not null, and
+    as the parent of each rule that refers to its table. One grouping counts the entries
+    per key, summed before they are shuffled, so that a hot key sends one row a task;
+    a foreign key is broken as often as it occurs if no parent entry has it. Keys that
+    are null count as equal in a primary key and break no foreign one. Rules that no row
+    breaks are returned with 0.
+    """
+    foreign = [f for f in schemas.FOREIGN_KEYS if f[0] in tables and f[2] in tables and f[1] in tables[f[0]].columns]
+    rules: list[tuple[str, str]] = []
+    entries: list[DataFrame] = []
     for table, df in tables.items():
         if table not in schemas.TABLES:
             continue
-        have = set(df.columns)
-        rules = {f"nulo_{c}": F.col(c).isNull() for c in schemas.required_columns(table) if c in have}
-        if table == "fato_despesas" and "valor_documento" in have:
-            rules["valor_positivo"] = F.col("valor_documento") <= 0
-        if rules:
-            parts.append(_report(df, table, rules))
+        found = []
+        for rule, broken in _row_rules(table, set(df.columns)).items():
+            rules.append((table, rule))
+            found.append(F.when(broken, _entry(table, rule, F.lit(None))))
         keys = schemas.PRIMARY_KEYS.get(table, ())
-        if keys and set(keys) <= have:
-            parts.append(duplicate_keys(df, table, keys))
-    for table, column, parent, parent_key in schemas.FOREIGN_KEYS:
-        if table in tables and parent in tables and column in tables[table].columns:
-            parts.append(missing_parents(tables[table], table, column, tables[parent], parent_key))
-    return reduce(DataFrame.unionByName, parts)
+        if keys and set(keys) <= set(df.columns):
+            rules.append((table, "pk"))
+            found.append(_entry(table, "pk", F.to_json(F.struct(*keys))))
+        for child, column, parent, parent_key in foreign:
+            if child == table:
+                rules.append((table, f"fk_{column}"))
+                found.append(F.when(F.col(column).isNotNull(), _entry(table, f"fk_{column}", F.col(column))))
+            if parent == table:
+                found.append(F.when(F.col(parent_key).isNotNull(), _entry(child, f"fk_{column}", F.col(parent_key), parent=True)))
+        if found:
+            entries.append(df.select(F.explode(F.array_compact(F.array(*found))).alias("e")).select("e.*"))
+    counted = reduce(DataFrame.unionByName, entries).groupBy("tabela", "regra", "chave").agg(
+        F.count_if(~F.col("pai")).alias("n"), F.max("pai").alias("tem_pai"))
+    broken = (
+        F.when(F.col("regra") == "pk", F.col("n") - 1)
+        .when(F.col("regra").startswith("fk_"), F.when(F.col("tem_pai"), 0).otherwise(F.col("n")))
+        .otherwise(F.col("n"))
+    )
+    every = counted.sparkSession.createDataFrame([(*r, 0) for r in rules], "tabela string, regra string, violacoes bigint")
+    return (
+        counted.select("tabela", "regra", broken.cast("bigint").alias("violacoes")).unionByName(every)
+        .groupBy("tabela", "regra").agg(F.sum("violacoes").alias("violacoes"))
+    )
 
 
 def implausible_day(col: Column, as_of) -> Column:

@@ -204,6 +204,27 @@ def test_quality_report_and_quarantine(spark):
     assert {r["situacao"]: r["linhas"] for r in rows(quality.validity_counts(df, rules))} == {"validas": 1, "invalidas": 2, "motivo_a": 1, "motivo_b": 1}
 
 
+def test_constraints_scan_each_table_once(spark, tmp_path):
+    """A hot orphan key, null keys and repeats; a table that is child and parent is read once."""
+    made = {
+        "dim_temas": "SELECT CAST(if(id = 3, NULL, id) AS INT) AS tema_id, 'n' AS nome, true AS critico FROM range(5)",
+        "fato_proposicoes": """SELECT CAST(if(id < 6, 1, id) AS INT) AS proposicao_id, 't' AS tipo, 'e' AS ementa, false AS autores_carregados,
+            0 AS qtd_autores, CAST(CASE WHEN id % 2 = 0 THEN 77 WHEN id % 5 = 0 THEN NULL ELSE 2 END AS INT) AS tema_id FROM range(1000)""",
+        "fato_votacoes": """SELECT CAST(id AS STRING) AS votacao_id, timestamp'2020-01-01' AS data, false AS votos_carregados, 0 AS qtd_votos,
+            CAST(id AS BIGINT) AS proposicao_id FROM range(20)""",
+    }
+    for name, text in made.items():
+        spark.sql(text).write.parquet(f"{tmp_path}/{name}")
+    found = quality.check_constraints({name: spark.read.parquet(f"{tmp_path}/{name}") for name in made})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len(made) and "Join" not in plan
+    broken = {(r["tabela"], r["regra"]): r["violacoes"] for r in rows(found) if r["violacoes"]}
+    assert broken == {("dim_temas", "nulo_tema_id"): 1, ("fato_proposicoes", "pk"): 5, ("fato_proposicoes", "fk_tema_id"): 500,
+                      ("fato_votacoes", "fk_proposicao_id"): 5}
+    empty = quality.check_constraints({name: spark.read.parquet(f"{tmp_path}/{name}").where("false") for name in made})
+    assert found.count() == empty.count() and not any(r["violacoes"] for r in rows(empty))
+
+
 def test_null_and_ragged_vectors_have_no_theme(spark):
     from civicspark.operators import enrich
 
