@@ -128,10 +128,10 @@ SHAPES = {"start": (1, STATES), "move": (STATES, STATES), "marker": (STATES, len
 def _segments(rows: DataFrame) -> DataFrame:
     """``rows`` with the segment of each turn: SEGMENT_ROWS turns after each other, in the order of number, role and text.
 
-    Only rows of long transcripts are numbered: within blocks of SEGMENT_ROWS turn
+    Only rows of long transcripts (their names are written first: few are broadcast) are numbered: within blocks of SEGMENT_ROWS turn
     numbers, each block starting where a running sum over the counts of blocks says.
     """
-    sizes = rows.groupBy("transcript").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SEGMENT_ROWS).select("transcript")
+    sizes = keep(rows.groupBy("transcript").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SEGMENT_ROWS).select("transcript"), "long")
     short = rows.join(sizes, "transcript", "left_anti").withColumn("segment", F.lit(0).cast("long"))
     blocked = rows.join(sizes, "transcript", "left_semi").withColumn("block", F.floor(F.col("turn") / SEGMENT_ROWS))
     before = Window.partitionBy("transcript").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -197,8 +197,8 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 
 
 def _parted(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Segments of transcripts that have one segment, and those of all others."""
-    more = found.where(F.col("segment") > 0).select("transcript").distinct()
+    """Segments of transcripts that have one segment, and those of all others. The names are written first: few are broadcast."""
+    more = keep(found.where(F.col("segment") > 0).select("transcript").distinct(), "long")
     return found.join(more, "transcript", "left_anti"), found.join(more, "transcript", "left_semi")
 
 

@@ -81,7 +81,7 @@ def op7_benchmark_decontamination(spark, sf_dir):
 
 @query
 def op8_chat_format(spark, sf_dir):
-    found = keep(chat.transcripts(table(spark, sf_dir, "conversations")), "transcripts")
+    found = chat.transcripts(table(spark, sf_dir, "conversations"))
     learned = F.pmod(F.crc32(F.col("transcript").cast("binary")), F.lit(3)) != 1
     done = chat.formatted_transcripts(found, chat.train(found.where(learned)))
     return done.select("row.conv_id", "row.segment", "n_lines", F.size("roles").alias("n_turns"),
