@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from civicspark.operators import upsert as ups
+from civicspark.operators import text_index, upsert as ups
 from civicspark.plans import analytics as A, research as R, rollup, views as V
 from civicspark.session import scratch_path
 from civicspark.sources import store
@@ -302,6 +304,19 @@ view("c15_digest_cards", A.digest_cards, f"""
 
 # --- predicates and aggregates with no view of their own ---------------------------
 
+# Longer and shorter patterns, accents, wildcards, one of two letters (a scan), one that nothing matches.
+_PATTERNS = ("%tion was%", "%CIÓNESCO%", "%the_of%ingha%", "%ei%", "%ñesga%", "%zzqq%")
+
+
+@query("p5_indexed_search", f"""
+    SELECT padrao, doc_id FROM documents, (VALUES {', '.join(f"('{p}')" for p in _PATTERNS)}) v(padrao) WHERE text ILIKE padrao""")
+def _indexed_search(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    index = text_index.TextIndex.build(docs, scratch_path(spark, "text-index"), "doc_id", ["text"])
+    found = [index.search(docs, p).select(F.lit(p).alias("padrao"), "doc_id") for p in _PATTERNS]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 query("p13_text_contains", """
     SELECT doc_id, lang FROM documents WHERE contains(lower(source || text), lower('SRC1'))""")(
     lambda spark, sf: _contains(load(spark, sf, "documents")))
