@@ -312,7 +312,7 @@ _PATTERNS = ("%tion was%", "%CIÓNESCO%", "%the_of%ingha%", "%ei%", "%ñesga%",
     SELECT padrao, doc_id FROM documents, (VALUES {', '.join(f"('{p}')" for p in _PATTERNS)}) v(padrao) WHERE text ILIKE padrao""")
 def _indexed_search(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "text")
-    index = text_index.TextIndex.build(docs, scratch_path(spark, "text-index"), "doc_id", ["text"])
+    index = text_index.TextIndex.build(docs, scratch_path(spark, "text-index"), "doc_id", ["text"], buckets=16)
     found = [index.search(docs, p).select(F.lit(p).alias("padrao"), "doc_id") for p in _PATTERNS]
     return reduce(lambda a, b: a.unionByName(b), found)
 

@@ -18,7 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Hash buckets of trigrams.
+#: Hash buckets of trigrams, one folder each; an index is built and read with the same number.
 BUCKETS = 256
 #: Trigrams of a pattern that are looked up.
 RAREST = 3
@@ -31,10 +31,6 @@ def _trigrams(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(...))"), F.lit(1)))
 
 
-def _bucket(trigram: Column) -> Column:
-    return F.pmod(F.xxhash64(trigram), F.lit(BUCKETS)).cast("int")
-
-
 def literal_parts(pattern: str) -> list[str]:
     """Stretches of a LIKE pattern between its wildcards; a backslash takes the next character literally."""
     parts = [""]
@@ -49,21 +45,25 @@ def literal_parts(pattern: str) -> list[str]:
 class TextIndex:
     """Trigram postings below ``path`` for the text columns ``texts`` of a table with the key column ``key``."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, texts: list[str], key_type: str = "bigint"):
+    def __init__(self, spark: SparkSession, path: str, key: str, texts: list[str], key_type: str = "bigint", buckets: int = BUCKETS):
         self.spark, self.path, self.key, self.texts = spark, path.rstrip("/"), key, texts
+        self.buckets = buckets
         self.schemas = {"postings": f"key {key_type}, trigram string, bucket int", "counts": "trigram string, n bigint, bucket int"}
 
+    def _bucket(self, trigram: Column) -> Column:
+        return F.pmod(F.xxhash64(trigram), F.lit(self.buckets)).cast("int")
+
     @staticmethod
-    def build(table: DataFrame, path: str, key: str, texts: list[str]) -> TextIndex:
+    def build(table: DataFrame, path: str, key: str, texts: list[str], buckets: int = BUCKETS) -> TextIndex:
         """Index all rows. Null texts have no trigrams; rows with a null key are indexed under it."""
-        index = TextIndex(table.sparkSession, path, key, texts, dict(table.dtypes)[key])
+        index = TextIndex(table.sparkSession, path, key, texts, dict(table.dtypes)[key], buckets)
         index.extend(table)
         return index
 
     def extend(self, rows: DataFrame) -> None:
         """Add the trigrams of new or changed rows. The counts come last: until then the rows are not found."""
         grams = reduce(F.array_union, [_trigrams(F.lower(F.coalesce(F.col(c), F.lit("")))) for c in self.texts])
-        posted = rows.select(F.col(self.key).alias("key"), F.explode(grams).alias("trigram")).withColumn("bucket", _bucket(F.col("trigram")))
+        posted = rows.select(F.col(self.key).alias("key"), F.explode(grams).alias("trigram")).withColumn("bucket", self._bucket(F.col("trigram")))
         # a common trigram makes its bucket large: rebalancing splits it over tasks and files
         posted.hint("rebalance", "bucket").sortWithinPartitions("bucket", "trigram").write.partitionBy("bucket").mode("append").parquet(f"{self.path}/postings")
         counts = posted.groupBy("bucket", "trigram").agg(F.count(F.lit(1)).alias("n"))
@@ -76,7 +76,7 @@ class TextIndex:
         if not any(len(p) >= 3 for p in parts):
             return None
         asked = self.spark.range(1).select(F.explode(F.array_distinct(F.flatten(F.array(*[_trigrams(F.lit(p)) for p in parts])))).alias("trigram"))
-        wanted = {r.trigram: r.bucket for r in asked.select("trigram", _bucket(F.col("trigram")).alias("bucket")).collect()}
+        wanted = {r.trigram: r.bucket for r in asked.select("trigram", self._bucket(F.col("trigram")).alias("bucket")).collect()}
         counts = self._read("counts", wanted).groupBy("trigram").agg(F.sum("n").alias("n"))
         found = {r.trigram: r.n for r in counts.collect()}
         rarest = sorted(wanted, key=lambda t: (found.get(t, 0), t))[:RAREST]
@@ -89,7 +89,7 @@ class TextIndex:
     def candidates(self, rarest: dict[str, int]) -> DataFrame:
         """Keys of the rows that hold all of the trigrams."""
         order = sorted(rarest)
-        buckets = self.spark.range(1).select(*[_bucket(F.lit(t)) for t in order]).first()
+        buckets = self.spark.range(1).select(*[self._bucket(F.lit(t)) for t in order]).first()
         bit = reduce(lambda c, i: c.when(F.col("trigram") == order[i], 1 << i), range(len(order)), F)
         held = self._read("postings", dict(zip(order, buckets))).groupBy("key").agg(F.bit_or(bit).alias("held"))
         return held.where(F.col("held") == (1 << len(order)) - 1).select("key")

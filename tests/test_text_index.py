@@ -19,9 +19,8 @@ def _rows(df):
 
 
 def test_search_is_a_scan(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(text_index, "BUCKETS", 8)
     table = spark.createDataFrame(TEXTS, "id int, ementa string, resumo string")
-    index = TextIndex.build(table.limit(6), str(tmp_path / "index"), "id", ["ementa", "resumo"])
+    index = TextIndex.build(table.limit(6), str(tmp_path / "index"), "id", ["ementa", "resumo"], buckets=8)
     for _ in range(2):  # a replay changes nothing
         index.extend(table)
     for inline, patterns in ((1000, PATTERNS), (0, PATTERNS[:6])):
@@ -33,7 +32,7 @@ def test_search_is_a_scan(spark, tmp_path, monkeypatch):
 
 def test_only_buckets_of_the_rarest_are_read(spark, tmp_path):
     table = spark.range(2000).select("id", F.concat(F.lit("projeto de lei "), F.format_string("n%04d", "id")).alias("ementa"))
-    index = TextIndex.build(table, str(tmp_path / "index"), "id", ["ementa"])
+    index = TextIndex.build(table, str(tmp_path / "index"), "id", ["ementa"], buckets=64)
     rarest = index._looked_up("%lei%n1234%")
     assert len(rarest) == 3 and max(rarest.values()) < 1000 and "lei" not in rarest
     plan = index.candidates(rarest)._jdf.queryExecution().executedPlan().toString()
@@ -46,5 +45,5 @@ def test_only_buckets_of_the_rarest_are_read(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     table = spark.createDataFrame([], "id int, ementa string")
-    index = TextIndex.build(table, str(tmp_path / "index"), "id", ["ementa"])
+    index = TextIndex.build(table, str(tmp_path / "index"), "id", ["ementa"], buckets=8)
     assert index.search(table, "%abc%").count() == 0
