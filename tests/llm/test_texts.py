@@ -1,11 +1,13 @@
 """Text-cutting, packing and sharding operators against plain Python."""
 
+import math
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -161,6 +163,31 @@ def test_packing_round_trip(spark):
         packing.pack(packed.select((F.col("length") + 2000).alias("length")))
 
 
+def descent(tree, key):
+    """Shard of a key by a plain descent: at each level the child of the smallest draw, subtrees without weight left out."""
+    def draw(level, node, weight):
+        seed = 42  # Spark's hash of several columns: each one's hash seeds the next, nulls are passed over
+        for part in ([] if key is None else [str(key).encode()]) + [level.encode(), node.to_bytes(4, "little")]:
+            seed = xxhash.xxh64_intdigest(part, seed)
+        return -math.log(((seed >> 11) + 0.5) / 2 ** 53) / weight
+
+    def choose(level, nodes):
+        return min((draw(level, node, weight), node) for node, weight in nodes if weight > 0)[1]
+
+    racks = [(r, rack) for r, region in enumerate(tree) for rack in region]
+    shards = [(k, weight) for k, (_, rack) in enumerate(racks) for weight in rack]
+    region = choose("region", [(r, sum(map(sum, t))) for r, t in enumerate(tree)])
+    rack = choose("rack", [(k, sum(rack)) for k, (r, rack) in enumerate(racks) if r == region])
+    return choose("shard", [(s, weight) for s, (k, weight) in enumerate(shards) if k == rack])
+
+
+def test_shards_against_a_plain_descent(spark):
+    keys = [*range(600), -5, 2 ** 40, None]
+    ids = spark.createDataFrame([(k,) for k in keys], "doc_id long")
+    for tree in (sharding.uniform_tree(24), sharding.grow(sharding.uniform_tree(24)), (((1.0, 3.0), (2.0,)), ((0.0, 4.0),), ((0.5,) * 5, (7.0, 0.0)))):
+        assert {r.doc_id: r.shard for r in sharding.assign(ids, tree).collect()} == {k: descent(tree, k) for k in keys}
+
+
 def test_shards_move_only_into_the_new_one(spark):
     ids = spark.range(30000).select(F.col("id").alias("doc_id"), F.lit(1).alias("shard"))
     for tree in (sharding.uniform_tree(24), sharding.uniform_tree(5), (((1.0, 3.0), (2.0,)), ((0.0, 4.0),))):
