@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from checks import standins
 from civicspark.operators import text_index
 from civicspark.operators.text_index import TextIndex
+from civicspark.plans import views
 
 TEXTS = [
     (1, "Altera a Lei de Educação Básica", None), (2, "ALTERA A LEI DE SAÚDE", "resumo da saúde"), (3, None, None), (4, "", "lei"),
@@ -47,3 +49,14 @@ def test_empty_table(spark, tmp_path):
     table = spark.createDataFrame([], "id int, ementa string")
     index = TextIndex.build(table, str(tmp_path / "index"), "id", ["ementa"], buckets=8)
     assert index.search(table, "%abc%").count() == 0
+
+
+def test_explorer_over_the_rows_found(spark, tmp_path):
+    tables = standins.tables(spark, "/root/testdata/sf0.001")
+    facts = tables["fato_proposicoes"]
+    index = TextIndex.build(facts, str(tmp_path / "index"), "proposicao_id", ["ementa", "resumo_executivo"], buckets=8)
+    for text in ("urgent", "1-urg%nt", "no such text"):
+        want = views.proposicoes_enriquecidas(tables, busca=text).collect()
+        found = {**tables, "fato_proposicoes": index.search(facts, f"%{text}%")}
+        assert views.proposicoes_enriquecidas(found, busca=text).collect() == want
+        assert bool(want) == (text != "no such text")
