@@ -170,9 +170,13 @@ def upsert(
 def update_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str], assign: Mapping[str, Column]) -> DataFrame:
     """Update-only: rows of ``target`` whose key is in ``source`` (unique by
     key) take the assigned values; nothing is inserted. Assignments may refer
-    to ``t.<column>`` and ``s.<column>``."""
+    to ``t.<column>`` and ``s.<column>``.
+
+    The source may hold as many keys as the table. Its size is guessed from all columns
+    of the files it is read from, far too low for a key and a value: broadcast on
+    that guess, it would pass through the driver's memory. So it is always shuffled."""
     left = target.alias("t")
-    right = source.withColumn("_given", F.lit(True)).alias("s")
+    right = source.withColumn("_given", F.lit(True)).alias("s").hint("merge")
     joined = left.join(right, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "left")
     hit = F.col("s._given").isNotNull()
     return joined.select(*[

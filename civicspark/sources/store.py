@@ -33,6 +33,8 @@ RANGE_KEYS = {
     "fato_votacao_votos": "votacao_id",
     "fato_despesas": "cod_documento",
 }
+#: Column, and folder name, of the key range.
+RANGE = "faixa"
 APPEND_ONLY = ("pipeline_erros",)
 RANGE_WIDTH = 1_000_000
 # Keys that do not start with digits spread over this many negative ranges.
@@ -169,9 +171,13 @@ class StarStore:
         if key is None:
             out.write.parquet(f"{self.root}/{folder}")
             return {"": [folder]}
-        split = out.withColumn("faixa", key_range(F.col(key), self.range_width))
-        split.hint("rebalance", "faixa").write.partitionBy("faixa").parquet(f"{self.root}/{folder}")
-        path, fs = self._path(f"{folder}/faixa=*")
+        split = out.withColumn(RANGE, key_range(F.col(key), self.range_width))
+        split.hint("rebalance", RANGE).write.partitionBy(RANGE).parquet(f"{self.root}/{folder}")
+        return self.written(folder)
+
+    def written(self, folder: str) -> dict[str, list[str]]:
+        """Key range -> its folder, of those in a written folder: one listing, however many they are."""
+        path, fs = self._path(f"{folder}/{RANGE}=*")
         names = [status.getPath().getName() for status in fs.globStatus(path) or []]
         return {name.split("=")[1]: [f"{folder}/{name}"] for name in names}
 

@@ -19,10 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import bitmaps
 from ..plans import views
-from ..sources.store import RANGE_KEYS, StarLoad, StarStore, key_range
+from ..sources.store import RANGE, RANGE_KEYS, StarLoad, StarStore, key_range
 
 Tables = Mapping[str, DataFrame]
-RANGE = "faixa"
 
 
 @dataclass(frozen=True)
@@ -48,9 +47,11 @@ class Part:
                 tables = {t: load.read(t, stale).withColumn(RANGE, key_range(F.col(RANGE_KEYS[t]), load.range_width)) for t in self.facts}
                 tables |= {t: load.read(t) for t in self.dims}
                 folder = f"_views/{self.name}/{uuid.uuid4().hex}"
-                made = self.rows(tables)
+                # one range's rows in one file, or a few: not one of each task
+                made = self.rows(tables).hint("rebalance", RANGE)
                 made.write.partitionBy(RANGE).parquet(f"{load.root}/{folder}")
-                load.replace(self.name, {str(n): [f"{folder}/{RANGE}={n}"] if n in _written(load, folder) else [] for n in stale})
+                written = load.written(folder)
+                load.replace(self.name, {str(n): written.get(str(n), []) for n in stale})
                 load.replace(f"{self.name}.origem", {str(n): current[str(n)] for n in stale})
             return stale
 
@@ -63,11 +64,6 @@ class Part:
         return store.spark.read.schema(self.shape).parquet(*folders)
 
 
-def _written(load: StarLoad, folder: str) -> set[int]:
-    path, fs = load._path(f"{folder}/{RANGE}=*")
-    return {int(s.getPath().getName().split("=")[1]) for s in fs.globStatus(path) or []}
-
-
 # --- V1: key figures ---
 
 def _propositions(t: Tables) -> DataFrame:

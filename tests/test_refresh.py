@@ -175,3 +175,38 @@ def test_periods_from_monthly_bitmaps(spark, tmp_path):
     parts = bitmaps.bitmaps(ids_, ["k"], "x")
     direct = ids_.groupBy("k").agg(F.count_distinct("x").alias("n"))
     assert same(bitmaps.distinct_count(parts.union(parts), ["k"], "n"), direct)
+
+
+def test_a_refresh_lists_a_folder_once_however_many_ranges(spark, tmp_path, monkeypatch):
+    store = StarStore(spark, str(tmp_path / "star"), range_width=10)
+    store.write("fato_proposicoes", spark.range(200).selectExpr("CAST(id AS INT) AS proposicao_id", "'PL' AS tipo", "'e' AS ementa"))
+    asked, path = [], StarStore._path
+    monkeypatch.setattr(StarStore, "_path", lambda self, name: asked.append(name) or path(self, name))
+    assert refresh.PROPOSITIONS.refresh(store) == list(range(20))
+    assert len([name for name in asked if name.endswith("=*")]) == 1
+    assert refresh.PROPOSITIONS.read(store).agg(F.sum("proposicoes")).first()[0] == 200
+
+
+def test_partial_rows_of_a_range_lie_in_one_file(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path / "star"), range_width=10)
+    store.write("fato_proposicoes", spark.range(100).selectExpr(
+        "CAST(id AS INT) AS proposicao_id", "'PL' AS tipo", "'e' AS ementa", "CAST(id % 7 AS INT) AS tema_id"))
+    store.write("ponte_proposicao_autores", spark.range(100).selectExpr(
+        "id AS proposicao_id", "'Deputado' AS autor_tipo", "concat('n', id) AS nome_autor", "CAST(id % 5 AS INT) AS partido_id"))
+    store.write("dim_partidos", spark.range(5).selectExpr("CAST(id AS INT) AS partido_id", "concat('P', id) AS sigla", "'x' AS nome"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        refresh.AUTHORSHIP.refresh(store)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "star" / "_views" / "_vw_autoria").rglob("part-*.parquet"))) == 10
+    assert refresh.AUTHORSHIP.read(store).agg(F.sum("qtd_proposicoes")).first()[0] == 100
+
+
+def test_an_update_does_not_pass_through_the_driver(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path / "star"))
+    store.write("fato_proposicoes", spark.range(50).selectExpr("CAST(id AS INT) AS proposicao_id", "'PL' AS tipo", "'e' AS ementa"))
+    moved = store.read("fato_proposicoes").where("proposicao_id % 5 = 1").select("proposicao_id", F.lit(3).alias("tema_id"))
+    done = ups.set_values(store.read("fato_proposicoes"), moved, ["tema_id"])
+    assert "Broadcast" not in done._jdf.queryExecution().executedPlan().toString()
+    assert done.where("tema_id = 3").count() == 10 and done.count() == 50
