@@ -13,6 +13,10 @@ meaning however the read is parallelised.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 META = "STRUCT<endpoint: STRING, params: STRING, fetched_at: STRING, count: INT, source: STRING>"
@@ -31,6 +35,9 @@ def is_listing(snapshot: Column) -> Column:
 # Digits of the largest BIGINT: a page number is never cut.
 _PAGE_DIGITS = 19
 
+#: Documents of a landed part file.
+FILE_PAGES = 20_000
+
 
 def _page_part() -> Column:
     page = F.coalesce(F.get_json_object("_meta.params", "$.pagina").try_cast("bigint"), F.lit(0))
@@ -52,7 +59,7 @@ def read_envelopes(
 
     Both layouts are read and told apart by the file name: a crawler's file
     ``<snapshot>.json`` holds one document over many lines, a landed part file
-    one document a line (and stays splittable). ``multi_line`` reads every file
+    one document a line. ``multi_line`` reads every file
     as the one (True) or the other (False)."""
     if multi_line is None:
         layouts = [_read_layout(spark, raw_dir, entity, payload_ddl, many, streaming, max_files, glob)
@@ -162,6 +169,29 @@ def newest_per_owner(envelopes: DataFrame, owner: Column, name: str) -> DataFram
     return keyed.groupBy(name).agg(F.max("_snapshot").alias("_snapshot"))
 
 
+def _documents(snapshot: str, page_size: int):
+    """One document for each endpoint of every ``page_size`` rows (seq, endpoint, record)."""
+    def text(page: int, endpoint: str | None, found: list[str]) -> str:
+        meta = {"endpoint": endpoint} if endpoint is not None else {}
+        meta |= {"params": {"pagina": page}, "fetched_at": snapshot, "count": len(found), "source": "landed"}
+        return f'{{"_meta":{json.dumps(meta, ensure_ascii=False, separators=(",", ":"))},"dados":[{",".join(found)}]}}'
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, open_page = None, {}
+        for batch in batches:
+            done = []
+            for seq, endpoint, record in zip(*(batch.column(c).to_pylist() for c in ("seq", "endpoint", "record"))):
+                page = seq // page_size
+                if page != current:
+                    done += [text(current, *entry) for entry in open_page.items()]
+                    current, open_page = page, {}
+                open_page.setdefault(endpoint, []).append(record)
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([text(current, *entry) for entry in open_page.items()], pa.string())], ["value"])
+
+    return run
+
+
 def land(
     df: DataFrame,
     raw_dir: str,
@@ -173,29 +203,15 @@ def land(
 ) -> str:
     """Write rows as envelopes, one compact document per line, never replacing
     an existing snapshot. Pages hold at most ``page_size`` rows of one task's
-    input, so no page can grow with a hot key."""
-    fields = df.columns
-    numbered = df.select(
-        F.struct(*fields).alias("_record"),
-        (endpoint if endpoint is not None else F.lit(f"/{entity.replace('_', '/')}")).alias("_endpoint"),
-        F.monotonically_increasing_id().alias("_seq"),
-    )
-    page = F.expr(f"_seq div {int(page_size)}")
-    pages = numbered.groupBy("_endpoint", page.alias("_page")).agg(
-        F.array_sort(F.collect_list(F.struct("_seq", "_record"))).alias("_rows")
-    )
-    document = F.to_json(
-        F.struct(
-            F.struct(
-                F.col("_endpoint").alias("endpoint"),
-                F.struct(F.col("_page").alias("pagina")).alias("params"),
-                F.lit(snapshot).alias("fetched_at"),
-                F.size("_rows").alias("count"),
-                F.lit("landed").alias("source"),
-            ).alias("_meta"),
-            F.transform("_rows", lambda r: r["_record"]).alias("dados"),
-        )
+    input, so no page can grow with a hot key. The rows of a page lie together in
+    their task: records become text there and are written without a shuffle, compressed
+    (a compressed file is read by one task, so it holds ``FILE_PAGES`` documents at most)."""
+    rows = df.select(
+        F.monotonically_increasing_id().alias("seq"),
+        (endpoint if endpoint is not None else F.lit(f"/{entity.replace('_', '/')}")).cast("string").alias("endpoint"),
+        F.to_json(F.struct(*df.columns)).alias("record"),
     )
+    pages = rows.mapInArrow(_documents(snapshot, page_size), "value string")
     target = f"{raw_dir}/{entity}/{snapshot}.json"
-    pages.select(document.alias("value")).write.mode("error").text(target)
+    pages.write.mode("error").option("maxRecordsPerFile", FILE_PAGES).text(target, compression="snappy")
     return target

@@ -281,3 +281,21 @@ def test_error_log_grows(spark, tmp_path):
 def test_owner_key_of_text_ids(spark):
     df = spark.sql("SELECT '/votacoes/2265603-49/votos' AS e")
     assert df.select(uri.owner_key(F.col("e"))).first()[0] == "2265603-49"
+
+
+def test_landing_writes_pages_without_a_shuffle_and_gives_every_row_back(spark, tmp_path):
+    rows = spark.range(0, 1050, 1, 3).selectExpr(
+        "CAST(id AS STRING) AS id", "CASE WHEN id % 7 = 0 THEN NULL ELSE concat('é \"\\n', id) END AS ementa", "id % 3 AS _owner")
+    endpoint = F.when(F.col("_owner") > 0, F.concat(F.lit("/proposicoes/"), F.col("_owner")))
+    context = spark.sparkContext
+    context.setJobGroup("landing", "landing")
+    env.land(rows, str(tmp_path), "proposicoes", "2026-01-01T00-00-00Z", endpoint=endpoint)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = context.statusTracker().getJobIdsForGroup("landing")
+    assert sum(len(context.statusTracker().getJobInfo(j).stageIds) for j in jobs) == 1
+    read = env.read_envelopes(spark, str(tmp_path), "proposicoes", "ARRAY<STRUCT<id STRING, ementa STRING, _owner STRING>>")
+    assert read.where("_count <> size(dados) OR _count > 100 OR _corrupt IS NOT NULL").count() == 0
+    assert {r["_endpoint"] for r in read.select("_endpoint").distinct().collect()} == {None, "/proposicoes/1", "/proposicoes/2"}
+    back = env.records(read)
+    assert back.select("id", "ementa").exceptAll(rows.select("id", "ementa")).count() == 0 and back.count() == 1050
+    assert back.where("coalesce(_endpoint, '/proposicoes/0') <> concat('/proposicoes/', _owner)").count() == 0
