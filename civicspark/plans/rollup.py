@@ -1,7 +1,8 @@
 """Monthly roll-ups of authorship and votes that give any period without the facts.
 
 Counts of distinct propositions, deputies, votings and voters are kept as bitmaps per month,
-party and theme; a period is the OR of its months.
+party and theme; a period is the OR of its months. A month of a party and theme holds few of
+all ids, so the bitmaps are words of 64 ids.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def monthly_authorship(t: Tables) -> DataFrame:
     facts = t["fato_proposicoes"].select("proposicao_id", "tema_id", _month("data_apresentacao"))
     rows = views.authors_with_party(t).join(facts, "proposicao_id")
     parts = [
-        bitmaps.bitmaps(rows, ["mes", *KEYS], ident).withColumn("medida", F.lit(name)) for name, ident in COUNTED.items()]
+        bitmaps.words(rows, ["mes", *KEYS], ident).withColumn("medida", F.lit(name)) for name, ident in COUNTED.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -36,6 +37,6 @@ def authorship_of(months: DataFrame, first: str, last: str, keys: list[str] | No
     """(keys, qtd_proposicoes, qtd_deputados_autores) of the months from ``first`` to ``last``."""
     keys = KEYS if keys is None else keys
     span = months.where(F.col("mes").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-    counts = bitmaps.distinct_count(span, [*keys, "medida"], "n")
+    counts = bitmaps.distinct_in_words(span, [*keys, "medida"], "n")
     return counts.groupBy(*keys).agg(*[
         F.coalesce(F.sum(F.when(F.col("medida") == name, F.col("n"))), F.lit(0)).alias(name) for name in COUNTED])
