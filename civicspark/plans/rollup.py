@@ -27,7 +27,7 @@ def _month(date: str) -> Column:
 def monthly_authorship(t: Tables) -> DataFrame:
     """(mes, sigla_partido, tema_id, medida, balde, bits); undated propositions have no month (null)."""
     facts = t["fato_proposicoes"].select("proposicao_id", "tema_id", _month("data_apresentacao"))
-    rows = views.authors_with_party(t).join(facts, "proposicao_id")
+    rows = views.authors_by_proposition(t).join(facts, "proposicao_id")
     parts = [
         bitmaps.words(rows, ["mes", *KEYS], ident).withColumn("medida", F.lit(name)) for name, ident in COUNTED.items()]
     return reduce(DataFrame.unionByName, parts)

@@ -32,6 +32,9 @@ DIGEST_LIMIT = 5
 ALERT_DAYS = 30
 DIGEST_DAYS = 7
 
+#: Author rows of a task that joins and counts them, about.
+TASK_ROWS = 1_000_000
+
 
 def day(as_of) -> Column:
     """``as_of`` as a date column; None means the current date."""
@@ -88,6 +91,16 @@ def authors_with_party(t: Tables, *columns: str) -> DataFrame:
     ).where(F.col("sigla_partido").isNotNull())
 
 
+def authors_by_proposition(t: Tables, *columns: str) -> DataFrame:
+    """``authors_with_party`` dealt by proposition to tasks of about TASK_ROWS rows.
+
+    Shuffled rows of a few narrow columns take hundreds of times their bytes once they are
+    sorted and counted, so tasks are cut by rows (one count of the bridge) instead of bytes."""
+    bridge = t["ponte_proposicao_autores"]
+    tasks = max(bridge.sparkSession.sparkContext.defaultParallelism, -(-bridge.count() // TASK_ROWS))
+    return authors_with_party(t, *columns).repartition(tasks, "proposicao_id")
+
+
 def _theme_columns(t: Tables) -> DataFrame:
     return t["dim_temas"].select("tema_id", F.col("nome").alias("tema"), "critico")
 
@@ -272,13 +285,13 @@ def _two_distinct(rows: DataFrame, keys: list[str], first: str, second: str, nam
     """Distinct values of two columns per key, and the sum of ``total``.
 
     Two distinct counts in one aggregate would expand every row into two. Here the
-    rows collapse once to distinct (key, first, second); each count is then a plain
-    one over a further distinct, and the few counted rows meet in a join."""
+    rows collapse once for each column to distinct (key, value), whose count is a plain
+    one, and the few counted rows meet in a join. Neither side holds the distinct
+    (key, first, second): a task's aggregates are those of one value."""
     sums = [F.sum(total).alias(total)] if total else []
-    pairs = rows.groupBy(*keys, first, second).agg(*(sums or [_rows().alias("_n")]))
-    one = pairs.groupBy(*keys, first).agg(*(sums or [F.sum("_n").alias("_n")])).groupBy(*keys).agg(
+    one = rows.groupBy(*keys, first).agg(*(sums or [_rows().alias("_n")])).groupBy(*keys).agg(
         F.count(first).alias(names[0]), *sums)
-    two = pairs.groupBy(*keys, second).agg(F.count(F.lit(1)).alias("_n")).groupBy(
+    two = rows.groupBy(*keys, second).agg(F.count(F.lit(1)).alias("_n")).groupBy(
         *[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(second).alias(names[1]))
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     return one.join(two, same).drop(*[f"_{k}" for k in keys])
@@ -286,7 +299,7 @@ def _two_distinct(rows: DataFrame, keys: list[str], first: str, second: str, nam
 
 def heatmap_tema_partido(t: Tables) -> DataFrame:
     facts = t["fato_proposicoes"].select("proposicao_id", "tema_id")
-    rows = authors_with_party(t).join(facts, "proposicao_id")
+    rows = authors_by_proposition(t).join(facts, "proposicao_id")
     # counted per theme id first: the theme names join a handful of rows
     counts = _two_distinct(rows, ["sigla_partido", "tema_id"], "proposicao_id", "deputado_id",
                            ("qtd_proposicoes", "qtd_deputados_autores"))
@@ -329,7 +342,7 @@ def proposicoes_por_deputado(t: Tables) -> DataFrame:
 
 def proposicoes_por_partido(t: Tables) -> DataFrame:
     known = t["fato_proposicoes"].select("proposicao_id")
-    rows = authors_with_party(t, "proponente").join(known, "proposicao_id")
+    rows = authors_by_proposition(t, "proponente").join(known, "proposicao_id")
     signed = rows.withColumn("qtd_proponente", F.coalesce(F.col("proponente").cast("long"), F.lit(0)))
     return _two_distinct(signed, ["partido_id", "sigla_partido"], "proposicao_id", "deputado_id",
                          ("qtd_proposicoes", "qtd_deputados_autores"), "qtd_proponente")

@@ -56,3 +56,11 @@ def test_words_count_each_id_once(spark):
     parts = bitmaps.words(ids, ["k"], "x")
     direct = ids.groupBy("k").agg(F.count_distinct("x").alias("n"))
     assert ordered(bitmaps.distinct_in_words(parts.union(parts), ["k"], "n")) == ordered(direct)
+
+
+def test_tasks_follow_the_rows_of_the_bridge(spark, monkeypatch):
+    t = star(spark)
+    usual = ordered(views.heatmap_tema_partido(t))
+    monkeypatch.setattr(views, "TASK_ROWS", 10)
+    assert views.authors_by_proposition(t).rdd.getNumPartitions() == 20
+    assert ordered(views.heatmap_tema_partido(t)) == usual
