@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from civicspark import schemas
 from civicspark.operators import bridges, dedup, load as load_jobs, quality, transforms, upsert as U
@@ -184,13 +184,19 @@ def _s12(spark, sf):
     SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, count(*) AS vezes, TRUE AS origem_unica FROM lineitem GROUP BY 1""")
 def _s12_many(spark, sf):
     """A landing of 64 tasks: every row comes back once, under an origin of its own."""
-    rows = load(spark, sf, "lineitem").selectExpr("concat(l_orderkey, '-', l_linenumber) AS id", "'t' AS ementa").repartition(64)
+    lines = load(spark, sf, "lineitem")
+    rows = lines.selectExpr("concat(l_orderkey, '-', l_linenumber) AS id", "'t' AS ementa").repartition(64)
     raw_dir = _landed(spark, rows, "proposicoes", ["2026-01-01T00-00-00Z"])
-    read = datasets.read_dataset(spark, raw_dir, "proposicoes")
-    counted = read.groupBy("id", *env.ORIGIN).agg(F.count(F.lit(1)).alias("n"))
-    places = read.groupBy(*env.ORIGIN).agg(F.count(F.lit(1)).alias("rows"))
-    return counted.join(places, list(env.ORIGIN)).groupBy("id").agg(
-        F.sum("n").alias("vezes"), F.bool_and(F.col("rows") == 1).alias("origem_unica"))
+    return _origins(datasets.read_dataset(spark, raw_dir, "proposicoes"), max(64, -(-lines.count() // 500_000)))
+
+
+def _origins(read, tasks):
+    """(id, vezes, origem_unica): rows of each id, and whether none of them shares its origin.
+
+    Origins are long texts that are shuffled as a few bytes: ``tasks`` follows the rows instead."""
+    placed = read.select("id", *env.ORIGIN).repartition(tasks, *env.ORIGIN).withColumn(
+        "rows", F.count(F.lit(1)).over(Window.partitionBy(*env.ORIGIN)))
+    return placed.groupBy("id").agg(F.count(F.lit(1)).alias("vezes"), F.bool_and(F.col("rows") == 1).alias("origem_unica"))
 
 
 def _expense_dir(spark, sf):

@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from checks import etl_queries
 from civicspark.functions import bitmaps
 from civicspark.plans import rollup, views
 
@@ -64,3 +65,10 @@ def test_tasks_follow_the_rows_of_the_bridge(spark, monkeypatch):
     monkeypatch.setattr(views, "TASK_ROWS", 10)
     assert views.authors_by_proposition(t).rdd.getNumPartitions() == 20
     assert ordered(views.heatmap_tema_partido(t)) == usual
+
+
+def test_origins_are_met_in_the_given_number_of_tasks(spark):
+    read = spark.sql("SELECT * FROM VALUES ('a', 's', 'p', 0), ('b', 's', 'p', 1), ('a', 's', 'p', 2), ('c', 's', 'p', 1), ('c', 's', 'q', 1) t(id, _snapshot, _part, _pos)")
+    found = etl_queries._origins(read, 7)
+    assert ordered(found) == ordered(spark.sql("SELECT * FROM VALUES ('a', 2L, true), ('b', 1L, false), ('c', 2L, false) t(id, vezes, origem_unica)"))
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
