@@ -18,6 +18,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import scratch_path
+
 #: Hash buckets of trigrams, one folder each; an index is built and read with the same number.
 BUCKETS = 256
 #: Trigrams of a pattern that are looked up.
@@ -63,7 +65,9 @@ class TextIndex:
     def extend(self, rows: DataFrame) -> None:
         """Add the trigrams of new or changed rows. The counts come last: until then the rows are not found."""
         grams = reduce(F.array_union, [_trigrams(F.lower(F.coalesce(F.col(c), F.lit("")))) for c in self.texts])
-        posted = rows.select(F.col(self.key).alias("key"), F.explode(grams).alias("trigram")).withColumn("bucket", self._bucket(F.col("trigram")))
+        path = scratch_path(self.spark, "postings")
+        rows.select(F.col(self.key).alias("key"), F.explode(grams).alias("trigram")).withColumn("bucket", self._bucket(F.col("trigram"))).write.parquet(path)
+        posted = self.spark.read.schema(self.schemas["postings"]).parquet(path)  # texts are taken apart once for both
         # a common trigram makes its bucket large: rebalancing splits it over tasks and files
         posted.hint("rebalance", "bucket").sortWithinPartitions("bucket", "trigram").write.partitionBy("bucket").mode("append").parquet(f"{self.path}/postings")
         counts = posted.groupBy("bucket", "trigram").agg(F.count(F.lit(1)).alias("n"))
