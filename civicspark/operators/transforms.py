@@ -121,11 +121,13 @@ def despesas(records: DataFrame) -> DataFrame:
 
 def autores_all(records: DataFrame) -> DataFrame:
     """Author rows of the bridge with their origin, before duplicates go.
-    Whether an author is a deputy or a party is read off the URI."""
-    link = safe_str(F.col("uri"))
-    number, resource = uri.numeric_tail(link), uri.resource_of(link)
+    Whether an author is a deputy or a party is read off the URI, whose parts are
+    columns of their own first: several fields use them, and each would parse it again."""
+    link, number, resource = F.col("_link"), F.col("_number"), F.col("_resource")
     payload = [c for c in ("uri", "nome", "codTipo", "tipo", "ordemAssinatura", "proponente") if c in records.columns]
-    return records.select(
+    parsed = records.withColumn("_link", safe_str(F.col("uri"))).withColumns(
+        {"_number": uri.numeric_tail(link), "_resource": uri.resource_of(link)})
+    return parsed.select(
         *ORIGIN,
         "proposicao_id",
         number.alias("autor_id"),
