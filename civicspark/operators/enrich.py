@@ -24,6 +24,9 @@ EMBED_BATCH = 50
 THRESHOLD = 0.30
 SUMMARY_LINES = 3
 
+# Request batches whose rows are handed back to Spark together.
+FRAME_BATCHES = 20
+
 # Everything but letters, marks, digits and '_' separates tokens.
 _NOT_WORD = r"[^\p{L}\p{M}\p{Nd}_]+"
 
@@ -73,19 +76,28 @@ def embed(proposicoes: DataFrame, encoder: Encoder, batch_size: int = EMBED_BATC
 
 
 def embed_texts(rows: DataFrame, encoder: Encoder, batch_size: int = EMBED_BATCH) -> DataFrame:
-    """``embed`` for rows (proposicao_id, texto)."""
+    """``embed`` for rows (proposicao_id, texto). Rows leave in frames of ``FRAME_BATCHES`` batches."""
+    def asked(texts: list[str]) -> tuple[list, list, list]:
+        none = [None] * len(texts)
+        try:
+            found, used = encoder(texts)
+            vectors = [np.asarray(v, dtype=np.float32) for v in found]
+            if len(vectors) != len(texts):
+                raise ValueError(f"Length of values ({len(vectors)}) does not match length of index ({len(texts)})")
+            return vectors, [used] + [0] * (len(texts) - 1), none
+        except Exception as exc:  # one bad batch must not end the job
+            return none, [0] * len(texts), [str(exc)] * len(texts)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        size = batch_size * FRAME_BATCHES
         for frame in frames:
-            for start in range(0, len(frame), batch_size):
-                part = frame.iloc[start:start + batch_size]
-                out = pd.DataFrame({"proposicao_id": part["proposicao_id"], "tokens": 0, "erro": None})
-                try:
-                    vectors, used = encoder(part["texto"].tolist())
-                    out["embedding"] = [np.asarray(v, dtype=np.float32) for v in vectors]
-                    out.iloc[0, out.columns.get_loc("tokens")] = used
-                except Exception as exc:  # one bad batch must not end the job
-                    out["embedding"] = None
-                    out["erro"] = str(exc)
+            for first in range(0, len(frame), size):
+                part = frame.iloc[first:first + size]
+                texts = part["texto"].tolist()
+                done = [asked(texts[at:at + batch_size]) for at in range(0, len(texts), batch_size)]
+                vectors, tokens, errors = ([x for batch in column for x in batch] for column in zip(*done))
+                out = pd.DataFrame({"proposicao_id": part["proposicao_id"], "tokens": tokens, "erro": pd.Series(errors, part.index, dtype=object)})
+                out["embedding"] = pd.Series(vectors, part.index, dtype=object)
                 yield out[["proposicao_id", "embedding", "tokens", "erro"]]
 
     return rows.mapInPandas(run, "proposicao_id INT, embedding ARRAY<FLOAT>, tokens BIGINT, erro STRING")
