@@ -2,6 +2,7 @@
 
 import random
 import re
+import uuid
 
 import numpy as np
 import pytest
@@ -231,3 +232,32 @@ def test_different_texts_of_one_id_both_stay(spark):
     one, two = words(rng, 60), words(rng, 60)
     docs = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join([*one, "more"])), (None, " ".join([*two, "more"]))]
     assert stay(spark, docs) == [1, 1]
+
+
+def test_pairs_leave_a_block_only_if_enough_can_be_common(spark, tmp_path, monkeypatch):
+    """200 texts share nine hot first shingles, one fewer than they need; only two share others as well."""
+    real = similar_texts._across
+
+    def counted(similarity):
+        run = real(similarity)
+
+        def both(found):
+            out = run(found)
+            (tmp_path / uuid.uuid4().hex).write_text(str(out.num_rows))
+            return out
+
+        return both
+
+    monkeypatch.setattr(similar_texts, "_across", counted)
+    own = [list(range(1000 + 100 * i, 1012 + 100 * i)) for i in range(200)]
+    rows = [(i, i, 100, [*range(9), *(range(50, 55) if i < 2 else own[i][7:]), *own[i][:7]]) for i in range(200)]
+    texts = spark.createDataFrame(rows, "node long, group long, n int, prefix array<long>")
+    assert [tuple(r) for r in similar_texts.missing(texts).collect()] == [(1, 0)]
+    assert sum(int(p.read_text()) for p in tmp_path.iterdir()) == 1
+
+
+def test_segment_counts_of_both_ways_are_the_same(spark):
+    rng = random.Random(4)
+    prints = [rng.getrandbits(64) - 2 ** 63 for _ in range(200)]
+    found = spark.createDataFrame([(p,) for p in prints], "p long").select(simhash.unary_counts(F.col("p")).alias("c")).collect()
+    assert similar_texts._unary(np.array(prints).astype(np.uint64)).astype(np.int64).tolist() == [r.c for r in found]
