@@ -3,8 +3,9 @@
 ``build`` fits centroids on a bounded sample, assigns every vector to its nearest one and
 writes the vectors partitioned by cell, with a small table of centroids, sizes and
 widths. ``search`` takes any number of queries at once: each goes to the cells of its
-nearest centroids, only those partitions are read, queries and vectors of a cell meet in
-blocks of bounded size, and each block returns at most k rows a query. ``complete``
+nearest centroids, only those partitions are read, queries and vectors of neighbouring
+cells meet in blocks of bounded size (a query is sent to a block once, with the cells it
+visits there), and each block returns at most k rows a query. ``complete``
 then visits every further cell that could still hold one of the k best: a vector's angle
 to its centroid is at most the cell's width, so the angle between query and vector is at
 least that between query and centroid less the width. The result is then the exact one.
@@ -29,6 +30,8 @@ CELL_ROWS, SAMPLE_ROWS, CENTROID_BYTES = 1000, 50_000, 64 << 20
 PROBES = 16
 #: Vectors and queries of a block.
 SIDE, QUERY_SIDE = 4096, 1024
+#: Visits (a query at a block) that leave a task in one batch.
+VISITS = 65_536
 
 
 def unit_rows(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -51,6 +54,19 @@ def _stretches(batch: pa.RecordBatch, size: int = 1024) -> Iterator[pa.RecordBat
         yield batch.slice(at, size)
 
 
+def _visited(cell: pa.ChunkedArray, cells: pa.ChunkedArray) -> np.ndarray:
+    """Whether a query (row) visits the cell of a vector (column)."""
+    known, of = np.unique(cell.to_numpy(), return_inverse=True)
+    lists = cells.combine_chunks()
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    flat = lists.flatten().to_numpy()
+    query, at = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), np.minimum(np.searchsorted(known, flat), len(known) - 1)
+    here = known[at] == flat
+    out = np.zeros((len(lists), len(known)), bool)
+    out[query[here], at[here]] = True
+    return out[:, of]
+
+
 class VectorIndex:
     """Vectors of ``path``/vectors by cell, and ``path``/cells (cell, centroid, rows, least): ``least`` is the smallest cosine to the centroid."""
 
@@ -61,6 +77,8 @@ class VectorIndex:
         self.rows = np.array([r["rows"] for r in cells], np.int64)
         self.least = np.array([r["least"] for r in cells], np.float64)
         self.centroids = np.array([r["centroid"] for r in cells], np.float64)
+        #: Neighbouring cells of together about ``SIDE`` vectors are a block: a query goes there once, however many of them it visits.
+        self.block = (np.cumsum(self.rows) - self.rows) // SIDE
 
     @classmethod
     def build(cls, df: DataFrame, key: str, vector: str, path: str, *, dim: int | None = None, cell_rows: int = CELL_ROWS,
@@ -107,13 +125,15 @@ class VectorIndex:
         return run
 
     def _cells(self, probes: int, further: bool):
-        """Adds to each query the cells it visits: its nearest ones, or all others that can reach its k-th score."""
+        """The blocks a query goes to, each with the cells it visits there: its nearest ones, or all others that can reach its k-th score."""
         centroids, rows = self.centroids, self.rows
         width = np.arccos(np.clip(self.least, -1, 1))
+        blocks, starts = np.unique(self.block, return_index=True)
+        size = max(1, min(1024, VISITS // len(blocks)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for batch in _stretches(whole):
+                for batch in _stretches(whole, size):
                     score = np.clip(unit_rows(batch.column("qvector"), centroids.shape[1]) @ centroids.T, -1, 1)
                     score[:, rows == 0] = -2
                     k = min(probes, len(centroids))
@@ -123,26 +143,35 @@ class VectorIndex:
                         reach = np.cos(np.maximum(0, np.arccos(np.clip(score, -1, 1)) - width))
                         near = ~near & (reach >= batch.column("kth").to_numpy(zero_copy_only=False)[:, None] - 1e-9)
                     near[:, rows == 0] = False
-                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, near.sum(axis=1).cumsum()), pa.int32()), pa.array(np.nonzero(near)[1], pa.int32()))
-                    yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("qvector"), lists], ["query", "qvector", "cells"])
+                    counts = np.add.reduceat(near.astype(np.int32), starts, axis=1)
+                    row, at = np.nonzero(counts)
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, counts[row, at].cumsum()), pa.int32()), pa.array(np.nonzero(near)[1], pa.int32()))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("query").take(pa.array(row)), batch.column("qvector").take(pa.array(row)), pa.array(blocks[at].astype(np.int32)), lists],
+                        ["query", "qvector", "block", "cells"])
 
         return run
 
-    def _best(self, asked: DataFrame, k: int) -> DataFrame:
-        """(query, key, score): the k best of the visited cells of each query (query, qvector, cells)."""
-        visits = asked.select("query", "qvector", F.explode("cells").alias("cell"))
-        sizes = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a cell
-        kinds = f"query {dict(asked.dtypes)['query']}, key {dict(self.vectors.dtypes)['key']}, score double"
-        if not sizes:
+    def _best(self, visits: DataFrame, k: int) -> DataFrame:
+        """(query, key, score): the k best of the visited cells of each query (query, qvector, block, cells)."""
+        # one row for each block (cell -1: its queries) and each cell
+        seen = visits.select("block", F.explode(F.concat(F.array(F.lit(-1)), "cells")).alias("cell")).groupBy("block", "cell").agg(
+            F.count(F.lit(1)).alias("n")).collect()
+        kinds = f"query {dict(visits.dtypes)['query']}, key {dict(self.vectors.dtypes)['key']}, score double"
+        if not seen:
             return _top(self.spark.createDataFrame([], kinds), k)
-        chunks = self.spark.createDataFrame(
-            [(c, int(-(-self.rows[c] // SIDE)), int(-(-n // QUERY_SIDE))) for c, n in sizes.items()], "cell int, v int, q int")
+        asked, wanted = {r["block"]: r["n"] for r in seen if r["cell"] < 0}, sorted(r["cell"] for r in seen if r["cell"] >= 0)
+        held = np.bincount(self.block, self.rows).astype(np.int64)
+        of_block = [(b, int(-(-held[b] // SIDE)), int(-(-n // QUERY_SIDE))) for b, n in asked.items()]
+        chunks = self.spark.createDataFrame(of_block, "block int, v int, q int")
+        of_cell = self.spark.createDataFrame([(c, int(self.block[c])) for c in wanted], "cell int, block int").join(F.broadcast(chunks), "block")
         part = lambda of, n: F.pmod(F.xxhash64(of), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        keys = ["cell", "_v", "_q"]
-        read = self.vectors.where(F.col("cell").isin(sorted(sizes)))  # only these partitions are read
-        stored = read.join(F.broadcast(chunks), "cell").withColumn("_v", part("key", "v")).withColumn("_q", every("q")).select(*keys, "key", "vector")
-        asking = visits.join(F.broadcast(chunks), "cell").withColumn("_q", part("query", "q")).withColumn("_v", every("v")).select(*keys, "query", "qvector")
+        keys = ["block", "_v", "_q"]
+        read = self.vectors.where(F.col("cell").isin(wanted))  # only these partitions are read
+        stored = read.join(F.broadcast(of_cell), "cell").withColumn("_v", part("key", "v")).withColumn("_q", every("q")).select(*keys, "key", "vector", "cell")
+        asking = visits.join(F.broadcast(chunks), "block").withColumn("_q", part("query", "q")).withColumn("_v", every("v")).select(
+            *keys, "query", "qvector", "cells")
         dim = self.centroids.shape[1]
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -151,11 +180,16 @@ class VectorIndex:
             left = left.sort_by("key")
             # equal directions must tie exactly
             score = np.round(unit_rows(right.column("qvector"), dim) @ unit_rows(left.column("vector"), dim).T, 12)
-            best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-            at = pa.array(best.ravel())
+            score[~_visited(left.column("cell"), right.column("cells"))] = -np.inf
+            least = np.partition(score, -min(k, left.num_rows), axis=1)[:, -min(k, left.num_rows)]
+            row, at = np.nonzero((score >= least[:, None]) & (score > -np.inf))
+            found = score[row, at]
+            order = np.lexsort((at, -found, row))  # of ties the lower keys come first
+            row, at, found = row[order], at[order], found[order]
+            first = np.arange(len(row)) - np.searchsorted(row, row) < k
             return pa.table({
-                "query": right.column("query").take(pa.array(np.repeat(np.arange(len(best)), best.shape[1]))),
-                "key": left.column("key").take(at), "score": pa.array(np.take_along_axis(score, best, 1).ravel())})
+                "query": right.column("query").take(pa.array(row[first])), "key": left.column("key").take(pa.array(at[first])),
+                "score": pa.array(found[first])})
 
         found = stored.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInArrow(run, kinds)
         return _top(found, k)
@@ -166,7 +200,7 @@ class VectorIndex:
         Queries must have different keys; those without a usable vector find nothing.
         """
         asked = queries.select(F.col(query).alias("query"), F.col(vector).alias("qvector")).where(usable("qvector", self.centroids.shape[1]))
-        kinds = f"query {dict(asked.dtypes)['query']}, qvector {dict(asked.dtypes)['qvector']}, cells array<int>"
+        kinds = f"query {dict(asked.dtypes)['query']}, qvector {dict(asked.dtypes)['qvector']}, block int, cells array<int>"
         found = self._best(asked.mapInArrow(self._cells(probes, False), kinds), k)
         if complete:
             path = scratch_path(self.spark, "nearest")

@@ -67,3 +67,12 @@ def test_unusable_vectors_and_empty_tables(spark, tmp_path):
     empty = VectorIndex.build(rows.where("false"), "id", "v", str(tmp_path / "b"), dim=2)
     assert empty.search(rows, "id", "v").count() == 0 and index.search(rows.where("false"), "id", "v", complete=True).count() == 0
     assert vector_index.recall(found, found.where(F.col("rank") == 1)).first().asDict() == {"pares": 2, "achados": 2, "desiguais": 0}
+
+
+def test_a_query_is_sent_to_a_block_once(spark, tmp_path):
+    """Twenty cells are one block: a query that visits all of them leaves one row, not twenty."""
+    stored = clustered(400, 8)
+    index = VectorIndex.build(frame(spark, stored), "id", "v", str(tmp_path / "index"), cell_rows=20)
+    asked = frame(spark, stored[:30]).toDF("query", "qvector")
+    sent = asked.mapInArrow(index._cells(20, False), "query long, qvector array<double>, block int, cells array<int>").collect()
+    assert len(sent) == 30 and all(r.cells == [c for c in range(20) if index.rows[c]] for r in sent)
