@@ -8,6 +8,8 @@ from civicspark.session import scratch_path
 
 #: Rows that one (key, bucket) group of ``gapless`` numbers at 10^11 rows: about 10^11 / BUCKETS / keys.
 BUCKETS = 4096
+#: Bytes of an Arrow batch that a Python task takes; a row of more is a batch of its own.
+BATCH_BYTES = 2 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,7 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     release(spark)
+    small_batches(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -32,6 +35,12 @@ def release(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches between Spark and Python by their bytes: by rows alone (10,000) a batch of whole
+    texts takes tens of MB, outside the heap of each executor's JVM and again in each Python worker, which keeps them."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def gapless(df: DataFrame, keys: list[str], out: str, buckets: int = BUCKETS) -> DataFrame:
     """Number the rows of each key 0, 1, 2, ... in ``out`` without bringing a key's rows together.
 

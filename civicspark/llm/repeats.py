@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import keep
 from .runs import runs
 
-#: Symbols that a task hashes at a time, and runs that it combines at a time.
-PIECE, COMBINED = 400_000, 400_000
+#: Symbols that a task hashes at a time (some twenty arrays of 8 bytes each), and runs that it combines at a time.
+PIECE, COMBINED = 100_000, 400_000
 PROBE, OPEN, DECIDED = 0, 1, 2
 FIRST_ID = -(1 << 63)
 
@@ -75,14 +75,18 @@ def pieces(texts, symbols_of: Symbols, width: int) -> Iterator[tuple[np.ndarray,
 
 def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns[name].astype(kind.to_pandas_dtype()), kind) for name, kind in _RUN_TYPES],
+        [pa.array(columns.pop(name).astype(kind.to_pandas_dtype(), copy=False), kind) for name, kind in _RUN_TYPES],
         schema=pa.schema(_RUN_TYPES))
 
 
 def combine(rows: dict[str, np.ndarray], within: bool) -> dict[str, np.ndarray]:
-    """What a task can decide of its own rows (key, span, doc, tag, start, windows); gives them a ``kind``."""
+    """What a task can decide of its own rows (key, span, doc, tag, start, windows); gives them a ``kind``.
+
+    ``rows`` is emptied: a column is dropped as soon as the next one is made of it.
+    """
     order = np.lexsort((rows["start"], rows["tag"], rows["doc"], rows["span"], rows["key"]))
-    rows = {k: v[order] for k, v in rows.items()}
+    rows = {k: rows.pop(k)[order] for k in list(rows)}
+    del order
     key, span, doc, tag = rows["key"], rows["span"], rows["doc"], rows["tag"]
     new_key = np.ones(len(key), bool)
     new_key[1:] = key[1:] != key[:-1]
@@ -97,7 +101,8 @@ def combine(rows: dict[str, np.ndarray], within: bool) -> dict[str, np.ndarray]:
     mixed = (np.bincount(group, weights=new_span) > 1)[group]
     kind = np.where(done, DECIDED, np.where(mixed, OPEN, PROBE))
     marks = np.flatnonzero(new_key & mixed)
-    out = {k: np.concatenate([v, v[marks]]) for k, v in rows.items()}
+    del key, span, doc, tag, group, mixed, new_key, new_span, done
+    out = {k: np.concatenate([v := rows.pop(k), v[marks]]) for k in list(rows)}
     out["kind"] = np.concatenate([kind, np.full(len(marks), PROBE)])
     out["windows"][len(kind):] = 0
     # decided and open rows need no company: deal them evenly
@@ -123,8 +128,8 @@ class Held:
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.size:
-            yield _batch(combine({k: np.concatenate([r[k] for r in self.rows]) for k in self.rows[0]}, self.within))
-        self.rows, self.size = [], 0
+            rows, self.rows, self.size = self.rows, [], 0
+            yield _batch(combine({k: np.concatenate([r.pop(k) for r in rows]) for k in list(rows[0])}, self.within))
 
 
 def find_runs(docs: DataFrame, symbols_of: Symbols, width: int, gram: int, within: bool) -> DataFrame:
