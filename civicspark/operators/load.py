@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -68,16 +69,24 @@ def append_errors(store: StarStore, errors: DataFrame) -> None:
     store.write("pipeline_erros", errors)
 
 
-def read_core(spark: SparkSession, raw_dir: str, *, multi_line: bool | None = None) -> dict[str, DataFrame]:
+# Datasets whose newest listing is read, and those of which every listing is.
+NEWEST, ALL_LISTINGS = ("partidos", "deputados"), ("proposicoes", "votacoes")
+
+
+def read_core(
+    spark: SparkSession, raw_dir: str, *, multi_line: bool | None = None, seen: Mapping[str, Observation] | None = None
+) -> dict[str, DataFrame]:
     """Core batches out of the raw folder: newest listing for parties and
-    deputies, all listings for propositions and votes."""
-    opts = {"multi_line": multi_line}
+    deputies, all listings for propositions and votes, whose malformed documents ``seen`` counts."""
+    opts, seen = {"multi_line": multi_line}, seen or {}
     record = lambda name: DATASETS[name].record
     return {
         "dim_partidos": transforms.partidos(env.latest_records(spark, raw_dir, "partidos", record("partidos"), **opts)),
         "dim_deputados": transforms.deputados(env.latest_records(spark, raw_dir, "deputados", record("deputados"), **opts)),
-        "fato_proposicoes": transforms.proposicoes(env.all_records(spark, raw_dir, "proposicoes", record("proposicoes"), **opts)),
-        "fato_votacoes": transforms.votacoes(env.all_records(spark, raw_dir, "votacoes", record("votacoes"), **opts)),
+        "fato_proposicoes": transforms.proposicoes(
+            env.all_records(spark, raw_dir, "proposicoes", record("proposicoes"), seen.get("proposicoes"), **opts)),
+        "fato_votacoes": transforms.votacoes(
+            env.all_records(spark, raw_dir, "votacoes", record("votacoes"), seen.get("votacoes"), **opts)),
     }
 
 
@@ -89,10 +98,12 @@ def read_expenses(spark: SparkSession, raw_dir: str, *, multi_line: bool | None
     return transforms.despesas(rows)
 
 
-def unreadable_listings(spark: SparkSession, raw_dir: str, now: Column, *, multi_line: bool | None = None) -> DataFrame:
+def unreadable_listings(
+    spark: SparkSession, raw_dir: str, now: Column, *, names: Sequence[str] = NEWEST + ALL_LISTINGS, multi_line: bool | None = None
+) -> DataFrame:
     """Error rows of the malformed documents among the core listings."""
     parts = []
-    for name in ("partidos", "deputados", "proposicoes", "votacoes"):
+    for name in names:
         ds = DATASETS[name]
         docs = env.read_envelopes(spark, raw_dir, ds.entity, f"ARRAY<STRUCT<{ds.record}>>", multi_line=multi_line)
         broken = env.unreadable(docs.where(env.is_listing(F.col("_snapshot"))))
@@ -110,16 +121,19 @@ def load_core(
 
 def _load_core(store: StarStore, raw_dir: str, now: Column, with_expenses: bool, multi_line: bool | None) -> dict[str, int]:
     spark = store.spark
-    errors = stage(unreadable_listings(spark, raw_dir, now, multi_line=multi_line), "unreadable")
-    if not errors.isEmpty():
-        append_errors(store, errors)
-    batches = read_core(spark, raw_dir, multi_line=multi_line)
+    # the job that loads all listings of a dataset counts their malformed documents; they are looked up only where there are some
+    seen = {name: Observation() for name in ALL_LISTINGS}
+    batches = read_core(spark, raw_dir, multi_line=multi_line, seen=seen)
     counts = {}
     for table in CORE_ORDER:
         batch = batches[table]
         if table == "dim_deputados":
             batch = ups.resolve_party(batch, store.read("dim_partidos"))
         counts[table] = apply_batch(store, table, batch, now)
+    broken = [name for name in ALL_LISTINGS if seen[name].get["broken"]]
+    errors = stage(unreadable_listings(spark, raw_dir, now, names=[*NEWEST, *broken], multi_line=multi_line), "unreadable")
+    if not errors.isEmpty():
+        append_errors(store, errors)
     if with_expenses:
         counts["fato_despesas"] = apply_batch(store, "fato_despesas", read_expenses(spark, raw_dir, multi_line=multi_line), now)
     return counts

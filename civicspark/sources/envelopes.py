@@ -17,7 +17,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 META = "STRUCT<endpoint: STRING, params: STRING, fetched_at: STRING, count: INT, source: STRING>"
 ORIGIN = ("_snapshot", "_part", "_pos")
@@ -104,9 +104,13 @@ def latest_listing(spark: SparkSession, raw_dir: str, entity: str) -> str | None
     return files.select(name.alias("s")).where(is_listing(F.col("s"))).agg(F.max("s")).first()[0]
 
 
+def _is_broken() -> Column:
+    return F.col("_corrupt").isNotNull() & F.col("dados").isNull()
+
+
 def unreadable(envelopes: DataFrame) -> DataFrame:
     """Malformed documents: (_snapshot, _part), one row each."""
-    return envelopes.where(F.col("_corrupt").isNotNull() & F.col("dados").isNull()).select("_snapshot", "_part")
+    return envelopes.where(_is_broken()).select("_snapshot", "_part")
 
 
 def records(envelopes: DataFrame) -> DataFrame:
@@ -117,10 +121,13 @@ def records(envelopes: DataFrame) -> DataFrame:
     return rows.select("_snapshot", "_part", "_pos", "_endpoint", "_params", "_fetched_at", "_record.*")
 
 
-def all_records(spark: SparkSession, raw_dir: str, entity: str, record_ddl: str, **options) -> DataFrame:
-    """Records of every listing, in (snapshot, part, position) order semantics."""
-    envelopes = read_envelopes(spark, raw_dir, entity, f"ARRAY<STRUCT<{record_ddl}>>", **options)
-    return records(envelopes.where(is_listing(F.col("_snapshot"))))
+def all_records(
+    spark: SparkSession, raw_dir: str, entity: str, record_ddl: str, seen: Observation | None = None, **options
+) -> DataFrame:
+    """Records of every listing, in (snapshot, part, position) order semantics. ``seen`` counts
+    the malformed documents (``broken``) in the first job that reads the records."""
+    envelopes = read_envelopes(spark, raw_dir, entity, f"ARRAY<STRUCT<{record_ddl}>>", **options).where(is_listing(F.col("_snapshot")))
+    return records(envelopes.observe(seen, F.count_if(_is_broken()).alias("broken")) if seen else envelopes)
 
 
 def latest_records(spark: SparkSession, raw_dir: str, entity: str, record_ddl: str, **options) -> DataFrame:
