@@ -133,7 +133,10 @@ def data_quality(store: StarStore) -> DataFrame:
 
 def _authorship(t: Tables) -> DataFrame:
     keys = [RANGE, "sigla_partido", "tema_id"]
-    rows = views.authors_with_party(t).join(t["fato_proposicoes"].select("proposicao_id", "tema_id", RANGE), "proposicao_id")
+    # propositions are as many as the table has, but their size is guessed from all columns of its files, far too
+    # low for three of them: broadcast on that guess, they would pass through the driver's memory
+    themes = t["fato_proposicoes"].select("proposicao_id", "tema_id", RANGE).hint("merge")
+    rows = views.authors_with_party(t).join(themes, "proposicao_id")
     # a proposition lies in one range, so its count adds up; a deputy signs in many
     counts = rows.groupBy(*keys, "proposicao_id").agg(F.lit(1).alias("n")).groupBy(*keys).agg(F.count(F.lit(1)).alias("qtd_proposicoes"))
     return counts.select("*", F.lit(None).cast("bigint").alias("balde"), F.lit(None).cast("binary").alias("bits")).unionByName(

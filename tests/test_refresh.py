@@ -210,3 +210,20 @@ def test_an_update_does_not_pass_through_the_driver(spark, tmp_path):
     done = ups.set_values(store.read("fato_proposicoes"), moved, ["tema_id"])
     assert "Broadcast" not in done._jdf.queryExecution().executedPlan().toString()
     assert done.where("tema_id = 3").count() == 10 and done.count() == 50
+
+
+def test_partial_rows_are_made_without_a_broadcast_of_a_fact(spark, tmp_path):
+    """Propositions are joined with their authors whatever size Spark guesses; dimensions may be broadcast."""
+    store = StarStore(spark, str(tmp_path / "star"), range_width=10)
+    store.write("fato_proposicoes", spark.range(50).selectExpr(
+        "CAST(id AS INT) AS proposicao_id", "'PL' AS tipo", "'e' AS ementa", "CAST(id % 7 AS INT) AS tema_id"))
+    store.write("ponte_proposicao_autores", spark.range(100).selectExpr(
+        "id % 60 AS proposicao_id", "'Deputado' AS autor_tipo", "concat('n', id) AS nome_autor", "CAST(id % 5 AS INT) AS partido_id"))
+    store.write("dim_partidos", spark.range(5).selectExpr("CAST(id AS INT) AS partido_id", "concat('P', id) AS sigla", "'x' AS nome"))
+    t = {name: store.read(name) for name in ("ponte_proposicao_autores", "dim_partidos", "dim_deputados")}
+    t["fato_proposicoes"] = store.read("fato_proposicoes").withColumn("faixa", F.lit(0))
+    made = refresh.AUTHORSHIP.rows(t)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "proposicao_id" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+    assert made.agg(F.sum("qtd_proposicoes")).first()[0] > 0
