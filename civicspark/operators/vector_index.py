@@ -103,7 +103,10 @@ class VectorIndex:
             centroids = centroids / np.sqrt((centroids ** 2).sum(axis=1, keepdims=True))
         out = f"{path}/vectors"
         assigned = rows.mapInArrow(cls._assigner(centroids, dim), f"key {dict(rows.dtypes)['key']}, vector {dict(rows.dtypes)['vector']}, cell int, cosine double")
-        assigned.hint("rebalance", "cell").write.partitionBy("cell").parquet(out)
+        if total:
+            assigned.hint("rebalance", "cell").write.partitionBy("cell").parquet(out)
+        else:  # divided by cell no file would be written, and none could tell the columns
+            assigned.select("key", "vector", "cosine", "cell").write.parquet(out)
         stats = spark.read.schema(assigned.schema).parquet(out).groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.min("cosine").alias("least"))
         known = {r["cell"]: r for r in stats.collect()}
         spark.createDataFrame(
